@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import market
+from workload import checks, market
 
-MODULES = (market,)
+MODULES = (market, checks)
 
 
 def queries() -> dict:
