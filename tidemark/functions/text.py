@@ -68,54 +68,53 @@ def searchable_text(
     )
 
 
-def payload_searchable_text(payload: Column, reasoning: Column) -> Column:
-    """Searchable text of a raw payload, null where it cannot be built.
+# Payload fields the searchable text and the vector metadata are made of. A
+# variant keeps the JSON kind, which tells a number from a text and an explicit
+# null from an absent key.
+SEARCH_FIELDS = (
+    "symbol VARIANT, source STRING, price_usd VARIANT, percent_change_24h VARIANT, "
+    "news_headline VARIANT, news_content STRING"
+)
 
-    A price or change that is not a JSON number has no number format, so such
-    a row gets no text (and later no vector). The payload is parsed once.
+
+def variant_number(value: Column) -> Column:
+    """The number a variant holds, null for any other kind."""
+    is_number = F.schema_of_variant(value).rlike(_NUMBER_KIND)
+    return F.when(is_number, F.try_variant_get(value, "$", "double"))
+
+
+def variant_text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
+
+
+def document_searchable_text(document: Column, reasoning: Column) -> Column:
+    """Searchable text of a parsed payload (``SEARCH_FIELDS``), null where it cannot be built.
+
+    A price or change that is neither a number nor empty has no number format,
+    so such a row gets no text and later no vector.
     """
-    fields = F.from_json(
-        payload,
-        "symbol STRING, price_usd VARIANT, percent_change_24h VARIANT, "
-        "news_headline STRING, news_content STRING",
-    )
 
-    def build(doc: Column) -> Column:
-        def kind(name: str) -> Column:
-            return F.schema_of_variant(doc[name])
-
-        def number(name: str) -> Column:
-            return F.when(
-                kind(name).rlike(_NUMBER_KIND),
-                F.try_variant_get(doc[name], "$", "double"),
-            )
-
-        def unformattable(name: str) -> Column:
-            empty = F.try_variant_get(doc[name], "$", "string").isin("", "false")
-            return F.coalesce(
-                ~kind(name).rlike(_NUMBER_KIND + "|^VOID") & ~empty, F.lit(False)
-            )
-
-        text = searchable_text(
-            doc["symbol"],
-            number("price_usd"),
-            number("percent_change_24h"),
-            doc["news_headline"],
-            doc["news_content"],
-            reasoning,
-        )
-        return F.when(
-            ~(unformattable("price_usd") | unformattable("percent_change_24h")), text
-        )
-
-    # One-element transform: binds the parsed document to a name, so the many
-    # uses above share a single parse.
-    return F.transform(F.array(fields), build)[0]
+    def unformattable(name: str) -> Column:
+        value = document[name]
+        other = ~F.schema_of_variant(value).rlike(_NUMBER_KIND + "|^VOID")
+        return F.coalesce(other & ~variant_text(value).isin("", "false"), F.lit(False))
+
+    text = searchable_text(
+        variant_text(document["symbol"]),
+        variant_number(document["price_usd"]),
+        variant_number(document["percent_change_24h"]),
+        variant_text(document["news_headline"]),
+        document["news_content"],
+        reasoning,
+    )
+    return F.when(
+        ~(unformattable("price_usd") | unformattable("percent_change_24h")), text
+    )
 
 
 def plain_number(value: Column) -> Column:
     """A double as text without exponent, with at least one decimal: 28500000000.0."""
-    digits = value.cast("string").try_cast("decimal(38,12)").cast("string")
+    digits = value.cast("string").try_cast("decimal(38,18)").cast("string")
     return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
 
 

@@ -19,8 +19,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions.numbers import SCORE_NEUTRAL, clamp_score, safe_double
 from tidemark.functions.sentiment import parse_score_reply
-from tidemark.functions.text import payload_searchable_text
+from tidemark.functions.text import (
+    SEARCH_FIELDS,
+    document_searchable_text,
+    variant_number,
+    variant_text,
+)
 from tidemark.functions.vectors import vector_metadata
+from tidemark.plans.once import compute_once
 
 EMBEDDING_DIMS = 256
 CLIENT_BATCH = 64
@@ -162,6 +168,15 @@ def embed_with_model(
     return df.mapInPandas(call, schema)
 
 
+def with_search_text(df: DataFrame, payload_col: str, reasoning_col: str) -> DataFrame:
+    """Add the parsed payload ``document`` and its ``search_text``; one parse per row."""
+    parsed = compute_once(
+        df, {"document": F.from_json(F.col(payload_col), SEARCH_FIELDS)}
+    )
+    text = document_searchable_text(F.col("document"), F.col(reasoning_col))
+    return compute_once(parsed, {"search_text": text})
+
+
 def vectorise(
     df: DataFrame,
     embed: Callable[[DataFrame, str, str], DataFrame],
@@ -173,43 +188,28 @@ def vectorise(
     symbol or headline, or whose text cannot be built, gets neither; the row
     itself is kept.
     """
-    text = payload_searchable_text(F.col("payload"), F.col("reasoning"))
-    embedded = embed(df.withColumn("_search_text", text), "_search_text", "_vector")
-    # Kinds of the values tell an explicit null (VOID) from an absent key (null).
-    kinds = F.from_json(
-        "payload",
-        "symbol VARIANT, source STRING, price_usd VARIANT, percent_change_24h VARIANT, "
-        "news_headline VARIANT",
+    document = F.col("document")
+
+    def no_text(name: str) -> Column:
+        return F.coalesce(F.schema_of_variant(document[name]) != "STRING", F.lit(False))
+
+    metadata = vector_metadata(
+        variant_text(document["symbol"]),
+        document["source"],
+        F.col("score"),
+        variant_number(document["price_usd"]),
+        variant_number(document["percent_change_24h"]),
+        variant_text(document["news_headline"]),
+        F.col("reasoning"),
+        timestamp,
     )
-
-    def build(doc: Column) -> Column:
-        def given(name: str) -> Column:
-            return F.schema_of_variant(doc[name])
-
-        def text_of(name: str) -> Column:
-            return F.try_variant_get(doc[name], "$", "string")
-
-        def number_of(name: str) -> Column:
-            return F.try_variant_get(doc[name], "$", "double")
-
-        metadata = vector_metadata(
-            text_of("symbol"),
-            doc["source"],
-            F.col("score"),
-            number_of("price_usd"),
-            number_of("percent_change_24h"),
-            text_of("news_headline"),
-            F.col("reasoning"),
-            timestamp,
-        )
-        refused = F.coalesce(given("symbol") != "STRING", F.lit(False)) | F.coalesce(
-            given("news_headline") != "STRING", F.lit(False)
-        )
-        return F.when(F.col("_vector").isNotNull() & ~refused, metadata)
-
-    metadata = F.transform(F.array(kinds), build)[0]
+    prepared = with_search_text(df, "payload", "reasoning").withColumn(
+        "search_text",
+        F.when(~no_text("symbol") & ~no_text("news_headline"), F.col("search_text")),
+    )
+    embedded = embed(prepared, "search_text", "_vector")
     return (
-        embedded.withColumn("metadata", metadata)
-        .withColumn("values", F.when(F.col("metadata").isNotNull(), F.col("_vector")))
-        .drop("_search_text", "_vector")
+        compute_once(embedded, {"values": F.col("_vector")})
+        .withColumn("metadata", F.when(F.col("values").isNotNull(), metadata))
+        .drop("document", "search_text", "_vector")
     )

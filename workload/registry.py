@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import checks, market
+from workload import checks, market, messages, search
 
-MODULES = (market, checks)
+MODULES = (market, checks, search, messages)
 
 
 def queries() -> dict:
