@@ -223,3 +223,62 @@ def label_centroids(embeddings: DataFrame) -> DataFrame:
     return embeddings.groupBy(F.col("label").cast("string").alias("query_id")).agg(
         mean.alias("values")
     )
+
+
+def client_actions(events: DataFrame) -> DataFrame:
+    """Every event as an action of its user on live subscriptions, by event type."""
+    k = F.col("_k")
+    types = F.array(*[F.lit(t) for t in EVENT_TYPES])
+
+    def pick(index: Column) -> Column:
+        return F.element_at(types, (1 + index).cast("int"))
+
+    action = (
+        F.when(F.col("event_type") == "purchase", "connect")
+        .when(F.col("event_type") == "signup", "unsubscribe")
+        .when((F.col("event_type") == "error") & (k < 50), "disconnect")
+        .otherwise("subscribe")
+    )
+    return events.withColumn("_k", k_of()).select(
+        F.concat(F.lit("c"), "user_id").alias("client"),
+        "ts",
+        F.col("event_id").alias("seq"),
+        action.alias("action"),
+        F.concat(pick(k % 5), F.lit(" , "), pick(F.floor(k / 5) % 5)).alias("symbols"),
+    )
+
+
+def metric_events(events: DataFrame) -> DataFrame:
+    """Every event as a metric record; sign-ups carry an unregistered name."""
+    k = F.col("_k")
+    name = (
+        F.when(F.col("event_type") == "click", "request_count")
+        .when(F.col("event_type") == "view", "request_latency")
+        .when(F.col("event_type") == "purchase", "bigquery_rows")
+        .when(F.col("event_type") == "error", "processing_latency")
+        .otherwise("unheard_of")
+    )
+    attributes = F.when(
+        k % 3 != 0,
+        F.create_map(
+            F.lit("zone"), (k % 2).cast("string"), F.lit("app"), F.lit("web")
+        ),
+    )
+    return events.withColumn("_k", k_of()).select(
+        "event_id", "ts", name.alias("name"), attributes.alias("attributes"), "value"
+    )
+
+
+def connection_events(events: DataFrame) -> DataFrame:
+    """Sign-ups open a connection, errors close one, other events change nothing."""
+    change = (
+        F.when(F.col("event_type") == "signup", 1)
+        .when(F.col("event_type") == "error", -1)
+        .otherwise(0)
+    )
+    return events.select(
+        "event_id",
+        "ts",
+        F.lit("active_connections").alias("name"),
+        change.cast("bigint").alias("value"),
+    )

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import checks, market, messages, search
+from workload import checks, live, market, messages, search, streams
 
-MODULES = (market, checks, search, messages)
+MODULES = (market, checks, search, messages, live, streams)
 
 
 def queries() -> dict:
