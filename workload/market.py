@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import latest_time
 from tidemark.operators import gold, serving, staging
+from tidemark.plans.storage import scratch_path
+from tidemark.sources import tables
 from workload import sql
 from workload.adapters import bronze, table
 
@@ -116,6 +118,33 @@ def response_violations(spark, sf_dir):
     return serving.response_violations(_latest(spark, sf_dir)).select("symbol")
 
 
+def bronze_table(spark, sf_dir):
+    """Last day of a written bronze table."""
+    events = table(spark, sf_dir, "events")
+    as_of = latest_time(events, "ts")
+    path = scratch_path(spark, "bronze")
+    tables.write_bronze(bronze(events), path)
+    return tables.read_bronze(spark, path, as_of, 24).select(
+        "id", "source", "ingested_at", "sentiment_score"
+    )
+
+
+def gold_views(spark, sf_dir):
+    """Latest sentiment through the session views over written tables."""
+    events = table(spark, sf_dir, "events")
+    as_of = latest_time(events, "ts")
+    bronze_path, hourly_path = scratch_path(spark, "bronze"), scratch_path(spark, "gold")
+    tables.write_bronze(bronze(events), bronze_path)
+    staged = staging.stage_market_data(
+        tables.read_bronze(spark, bronze_path, as_of), as_of, None
+    )
+    tables.write_gold_hourly(gold.hourly_sentiment(staged, as_of), hourly_path)
+    tables.create_views(
+        spark, bronze_path, hourly_path, as_of, trend_mode="previous_hour"
+    )
+    return spark.table("gold_latest_sentiment")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -138,6 +167,8 @@ QUERIES = {
         market_summary_top,
         top_per_category,
         response_violations,
+        bronze_table,
+        gold_views,
     )
 }
 
@@ -226,6 +257,10 @@ SELECT * FROM (
          symbol, sentiment_score
   FROM latest WHERE sentiment_category IN ('BULLISH', 'BEARISH'))
 WHERE position <= 5""",
+    "bronze_table": f"""WITH {sql.MESSAGES}
+SELECT id, source, ingested_at, sentiment_score FROM messages
+WHERE ingested_at >= as_of - INTERVAL 24 HOUR""",
+    "gold_views": f"WITH {sql.LATEST_PREVIOUS} SELECT * FROM latest",
     "response_violations": f"""WITH {sql.LATEST_PREVIOUS}
 SELECT symbol FROM latest
 WHERE symbol IS NULL OR sentiment_score IS NULL OR sentiment_category IS NULL

@@ -44,10 +44,10 @@ def decode_envelope(spark, sf_dir):
     )
 
 
-def ingest_bronze(spark, sf_dir):
-    """Bronze rows; the metadata JSON is opened to compare its fields."""
+def bronze_view(rows: DataFrame) -> DataFrame:
+    """Bronze rows with the metadata JSON opened, to compare its fields."""
     meta = "processing_metadata"
-    return _ingested(spark, sf_dir).bronze.select(
+    return rows.select(
         "id",
         F.get_json_object("raw_payload", "$.symbol").alias("symbol"),
         "source",
@@ -60,6 +60,10 @@ def ingest_bronze(spark, sf_dir):
     )
 
 
+def ingest_bronze(spark, sf_dir):
+    return bronze_view(_ingested(spark, sf_dir).bronze)
+
+
 def ingest_vectors(spark, sf_dir):
     return _ingested(spark, sf_dir).vectors.select(
         "namespace",

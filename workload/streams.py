@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions import numbers, sentiment
+from tidemark.functions import sentiment
 from tidemark.functions.times import iso_text, latest_time
 from tidemark.operators import gold, routing, staging
 from tidemark.plans.storage import scratch_path
@@ -17,41 +20,62 @@ from workload.adapters import table
 
 # Spread of the test events, so that no replayed row counts as late.
 DELAY = "60 days"
-STEPS = 3
+STEPS = 2
 
 
 def replay(
-    events: DataFrame, time_col: str = "ts", steps: int = STEPS, fan: int = 4
-) -> DataFrame:
-    """All events as a stream of ``steps`` batches in order of time."""
+    events: DataFrame,
+    run: Callable[[DataFrame], StreamingQuery],
+    time_col: str = "ts",
+    steps: int = STEPS,
+) -> None:
+    """Feed all events to a stream in steps of time; each step is taken up by a
+    restarted query, which must go on from its checkpoint."""
     spark = events.sparkSession
     path = scratch_path(spark, "replay")
     timed = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
     first, last = timed.agg(F.min(time_col), F.max(time_col)).first()
     width = (last - first) / steps
     for step in range(steps):
-        low = F.lit(first + step * width)
-        part = timed.filter(F.col(time_col) >= low)
+        part = timed.filter(F.col(time_col) >= F.lit(first + step * width))
         if step < steps - 1:
             part = part.filter(F.col(time_col) < F.lit(first + (step + 1) * width))
-        part.repartition(fan).write.parquet(f"{path}/step={step}")
-    return (
-        spark.readStream.schema(timed.schema)
-        .option("maxFilesPerTrigger", fan)
-        .parquet(f"{path}/step=*")
-    )
+        part.write.parquet(f"{path}/step={step}")
+        stream = spark.readStream.schema(timed.schema).parquet(f"{path}/step=*")
+        run(stream).awaitTermination()
 
 
-def _finish(query) -> None:
-    query.awaitTermination()
+def _appended(
+    events: DataFrame, build: Callable[[DataFrame], DataFrame], label: str
+) -> DataFrame:
+    """Rows of an append-mode stream over the events, written as files and read back."""
+    spark = events.sparkSession
+    out, state = scratch_path(spark, label), scratch_path(spark, "state")
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        return (
+            build(stream)
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", state)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    replay(events, run)
+    return spark.read.parquet(out)
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     as_of = latest_time(events, "ts")
-    staged = staging.stage_market_data(adapters.bronze(replay(events)), as_of, None)
     out, state = scratch_path(spark, "hourly"), scratch_path(spark, "state")
-    _finish(rollups.run_hourly(staged, out, state, DELAY, available_now=True))
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        staged = staging.stage_market_data(adapters.bronze(stream), as_of, None)
+        return rollups.run_hourly(staged, out, state, DELAY, available_now=True)
+
+    replay(events, run)
     hourly = rollups.read_hourly(spark, out, as_of)
     return hourly.withColumns(
         {
@@ -74,45 +98,40 @@ def trend_changes_stream(spark, sf_dir):
 
 
 def newest_message_stream(spark, sf_dir):
-    messages_in = adapters.staged_columns(replay(table(spark, sf_dir, "events")))
-    newest = rollups.newest_messages(messages_in.filter(F.col("symbol").isNotNull()))
     out, state = scratch_path(spark, "newest"), scratch_path(spark, "state")
-    _finish(sinks.keep_versions(newest, out, state, available_now=True))
-    return sinks.current_version(spark, out, ["symbol"]).withColumn(
-        "ingested_at", F.col("ingested_at").cast("timestamp_ntz")
-    )
 
+    def run(stream: DataFrame) -> StreamingQuery:
+        rows = adapters.staged_columns(stream).filter(F.col("symbol").isNotNull())
+        newest = rollups.newest_messages(rows)
+        return sinks.keep_versions(newest, out, state, available_now=True)
 
-def _append(stream: DataFrame, label: str) -> DataFrame:
-    """Rows of an append-mode stream, written as files and read back."""
-    spark = stream.sparkSession
-    out, state = scratch_path(spark, label), scratch_path(spark, "state")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", state)
-        .trigger(availableNow=True)
-        .start()
+    replay(table(spark, sf_dir, "events"), run)
+    return sinks.current_version(spark, out, ["symbol"]).withColumn(
+        "ingested_at", F.col("ingested_at").cast("timestamp_ntz")
     )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
 
 
 def dedupe_stream(spark, sf_dir):
     """Every error event is delivered twice; one delivery is kept."""
     events = table(spark, sf_dir, "events")
     delivered = events.unionByName(events.filter(F.col("event_type") == "error"))
-    kept = rollups.drop_replays(replay(delivered), "event_id", "ts", DELAY)
-    return _append(kept, "deduped").select("event_id", "event_type", "value")
+    kept = _appended(
+        delivered,
+        lambda stream: rollups.drop_replays(stream, "event_id", "ts", DELAY),
+        "deduped",
+    )
+    return kept.select("event_id", "event_type", "value")
 
 
 def sentiment_updates_stream(spark, sf_dir):
-    rows = adapters.staged_columns(replay(table(spark, sf_dir, "events")))
-    scored = rows.withColumn(
-        "sentiment_category", sentiment.row_category(F.col("sentiment_score"))
-    )
-    updates = routing.sentiment_updates(scored, iso_text(F.col("ingested_at")))
-    return _append(updates, "updates").select(
+    def build(stream: DataFrame) -> DataFrame:
+        rows = adapters.staged_columns(stream).withColumn(
+            "sentiment_category", sentiment.row_category(F.col("sentiment_score"))
+        )
+        return routing.sentiment_updates(rows, iso_text(F.col("ingested_at")))
+
+    sent = _appended(table(spark, sf_dir, "events"), build, "updates")
+    return sent.select(
         "id",
         "symbol",
         F.get_json_object("event", "$.timestamp").alias("timestamp"),
@@ -121,41 +140,39 @@ def sentiment_updates_stream(spark, sf_dir):
 
 
 def price_alerts_stream(spark, sf_dir):
-    rows = adapters.staged_columns(replay(table(spark, sf_dir, "events")))
-    alerts = routing.price_alerts(
-        rows, live.ALERT_THRESHOLD, iso_text(F.col("ingested_at"))
-    )
-    return _append(alerts, "alerts").select(
-        "id", F.get_json_object("event", "$.data.direction").alias("direction")
-    )
+    def build(stream: DataFrame) -> DataFrame:
+        rows = adapters.staged_columns(stream)
+        moment = iso_text(F.col("ingested_at"))
+        return routing.price_alerts(rows, live.ALERT_THRESHOLD, moment)
+
+    sent = _appended(table(spark, sf_dir, "events"), build, "alerts")
+    return sent.select("id", F.get_json_object("event", "$.data.direction").alias("direction"))
 
 
 def route_stream(spark, sf_dir):
     """Events of a stream joined to the subscriptions as they stand."""
     events = table(spark, sf_dir, "events")
     actions = adapters.client_actions(events)
-    stream = adapters.staged_columns(replay(events)).select(
-        "id", F.col("event_type").alias("symbol")
-    )
-    routed = routing.route_events(
-        stream,
-        routing.current_subscriptions(actions),
-        routing.connected_clients(actions),
-        mode="subscribed",
-    )
-    return _append(routed, "routed")
+    subscriptions = routing.current_subscriptions(actions)
+    clients = routing.connected_clients(actions)
+
+    def build(stream: DataFrame) -> DataFrame:
+        rows = adapters.staged_columns(stream)
+        sent = rows.select("id", F.col("event_type").alias("symbol"))
+        return routing.route_events(sent, subscriptions, clients, mode="subscribed")
+
+    return _appended(events, build, "routed")
 
 
 def rate_limit_on_stream(spark, sf_dir):
-    requests = replay(table(spark, sf_dir, "events")).select(
-        "event_id", "event_type", "ts"
-    )
-    flagged = rate_limit_stream(
-        requests, "event_type", "ts", 2, 3600, order=("event_id",)
-    )
-    return _append(flagged, "limited").withColumn(
-        "ts", F.col("ts").cast("timestamp_ntz")
-    )
+    def build(stream: DataFrame) -> DataFrame:
+        requests = stream.select("event_id", "event_type", "ts")
+        return rate_limit_stream(
+            requests, "event_type", "ts", 2, 3600, order=("event_id",)
+        )
+
+    flagged = _appended(table(spark, sf_dir, "events"), build, "limited")
+    return flagged.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def ingest_stream(spark, sf_dir):
@@ -163,20 +180,13 @@ def ingest_stream(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     as_of = latest_time(events, "ts")
     out, state = scratch_path(spark, "ingest"), scratch_path(spark, "state")
-    stream = adapters.envelopes(replay(events))
-    _finish(run_ingest(stream, out, state, messages.TOPIC, as_of, available_now=True))
-    meta = "processing_metadata"
-    return spark.read.parquet(f"{out}/bronze").select(
-        "id",
-        F.get_json_object("raw_payload", "$.symbol").alias("symbol"),
-        "source",
-        F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
-        numbers.snap_round(F.col("sentiment_score"), 6).alias("sentiment_score"),
-        "sentiment_reasoning",
-        F.get_json_object(meta, "$.function_version").alias("function_version"),
-        F.get_json_object(meta, "$.pinecone_indexed").alias("indexed"),
-        F.get_json_object(meta, "$.pubsub_publish_time").alias("publish_time"),
-    )
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        pushed = adapters.envelopes(stream)
+        return run_ingest(pushed, out, state, messages.TOPIC, as_of, available_now=True)
+
+    replay(events, run)
+    return messages.bronze_view(spark.read.parquet(f"{out}/bronze"))
 
 
 QUERIES = {
