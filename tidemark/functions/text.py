@@ -57,7 +57,7 @@ def searchable_text(
             F.concat(
                 direction(change),
                 F.lit(" "),
-                F.format_string("%.2f", F.abs(change)),
+                F.call_function("format_number", F.abs(change), F.lit("0.00")),
                 F.lit("%"),
             ),
             change != 0,

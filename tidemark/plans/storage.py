@@ -16,14 +16,14 @@ def scratch_root(spark: SparkSession) -> str:
     Executors on other machines must see it, so a machine-local folder is made
     only when the session runs in local mode and names none.
     """
-    root = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(SETTING, root)
-    return root
+    context = spark.sparkContext
+    root = context.getConf().get(SETTING) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {SETTING} to a folder all executors can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
