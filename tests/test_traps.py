@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import clamp_score, safe_double, snap_round
 from tidemark.functions.payload import extract_scalars, has_key, is_json_object
 from tidemark.functions.sentiment import hourly_category, parse_score_reply, row_category
-from tidemark.functions.text import document_searchable_text, searchable_text
-from tidemark.operators.enrich import hashing_embedding, vectorise
+from tidemark.functions.text import searchable_text
+from tidemark.operators.enrich import hashing_embedding, vectorise, with_search_text
 from tidemark.operators.gold import hourly_sentiment, latest_sentiment
 from tidemark.operators.staging import stage_market_data
 
@@ -244,11 +244,19 @@ def test_vector_is_skipped_where_the_payload_does_not_allow_it(frame):
     assert sum(x * x for x in rows[0]["values"]) == pytest.approx(1.0, abs=1e-5)
 
 
-def test_document_text_with_false_price(frame):
-    schema = "symbol VARIANT, price_usd VARIANT, percent_change_24h VARIANT, news_headline VARIANT, news_content STRING"
-    docs = frame([('{"symbol": "a", "price_usd": ""}',), ('{"symbol": "a", "price_usd": {}}',)], "d string")
-    parsed = docs.select(F.from_json("d", schema).alias("doc"))
-    assert values(parsed, document_searchable_text(F.col("doc"), F.lit(None).cast("string"))) == [
-        "Cryptocurrency: a",
-        None,
+def test_text_with_prices_that_are_no_numbers(frame):
+    payloads = [
+        '{"symbol": "a", "price_usd": ""}',
+        '{"symbol": "a", "price_usd": {}}',
+        '{"symbol": "a", "price_usd": "2", "percent_change_24h": 1}',
     ]
+    df = frame([(p, None) for p in payloads], "payload string, reasoning string")
+    rows = with_search_text(df, "payload", "reasoning").collect()
+    assert [r.search_text for r in rows] == ["Cryptocurrency: a", None, None]
+
+
+def test_symbols_that_are_no_text_get_no_vector(frame):
+    payloads = ['{"symbol": 5}', '{"symbol": "5"}', '{"symbol": true}', '{"symbol": "true"}', '{"symbol": {"a": 1}}']
+    df = frame([(p, 5.0, None) for p in payloads], "payload string, score double, reasoning string")
+    rows = vectorise(df, hashing_embedding, F.lit("now")).collect()
+    assert [r["values"] is not None for r in rows] == [False, True, False, True, False]

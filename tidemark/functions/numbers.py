@@ -34,8 +34,17 @@ def snap_round(value: Column, digits: int) -> Column:
 
 
 def safe_double(text: Column) -> Column:
-    """Text to double, null where the text is not a number."""
-    return F.when(text.rlike(_FLOAT_TEXT), text.try_cast("double"))
+    """Text to double, null where the text is not a number.
+
+    The pattern is tried only on text with a letter that a Java suffix or hex
+    digits would need; any other text is left to the cast.
+    """
+    odd = F.lit(False)
+    for letter in "dDfF":
+        odd = odd | text.endswith(letter)
+    for letter in "xX":
+        odd = odd | text.contains(letter)
+    return F.when(~odd | text.rlike(_FLOAT_TEXT), text.try_cast("double"))
 
 
 def clamp_score(score: Column) -> Column:

@@ -32,9 +32,6 @@ Consider factors like:
 
 Respond ONLY with valid JSON, no markdown or additional text."""
 
-_NUMBER_KIND = "^(DOUBLE|FLOAT|DECIMAL|BIGINT|INT|SMALLINT|TINYINT)"
-
-
 def _labelled(label: str, text: Column, present: Column) -> Column:
     return F.when(present, F.concat(F.lit(label), text))
 
@@ -68,50 +65,6 @@ def searchable_text(
     )
 
 
-# Payload fields the searchable text and the vector metadata are made of. A
-# variant keeps the JSON kind, which tells a number from a text and an explicit
-# null from an absent key.
-SEARCH_FIELDS = (
-    "symbol VARIANT, source STRING, price_usd VARIANT, percent_change_24h VARIANT, "
-    "news_headline VARIANT, news_content STRING"
-)
-
-
-def variant_number(value: Column) -> Column:
-    """The number a variant holds, null for any other kind."""
-    is_number = F.schema_of_variant(value).rlike(_NUMBER_KIND)
-    return F.when(is_number, F.try_variant_get(value, "$", "double"))
-
-
-def variant_text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
-
-
-def document_searchable_text(document: Column, reasoning: Column) -> Column:
-    """Searchable text of a parsed payload (``SEARCH_FIELDS``), null where it cannot be built.
-
-    A price or change that is neither a number nor empty has no number format,
-    so such a row gets no text and later no vector.
-    """
-
-    def unformattable(name: str) -> Column:
-        value = document[name]
-        other = ~F.schema_of_variant(value).rlike(_NUMBER_KIND + "|^VOID")
-        return F.coalesce(other & ~variant_text(value).isin("", "false"), F.lit(False))
-
-    text = searchable_text(
-        variant_text(document["symbol"]),
-        variant_number(document["price_usd"]),
-        variant_number(document["percent_change_24h"]),
-        variant_text(document["news_headline"]),
-        document["news_content"],
-        reasoning,
-    )
-    return F.when(
-        ~(unformattable("price_usd") | unformattable("percent_change_24h")), text
-    )
-
-
 def plain_number(value: Column) -> Column:
     """A double as text without exponent, with at least one decimal: 28500000000.0."""
     digits = value.cast("string").try_cast("decimal(38,18)").cast("string")

@@ -18,13 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numbers import SCORE_NEUTRAL, clamp_score, safe_double
+from tidemark.functions.payload import string_only
 from tidemark.functions.sentiment import parse_score_reply
-from tidemark.functions.text import (
-    SEARCH_FIELDS,
-    document_searchable_text,
-    variant_number,
-    variant_text,
-)
+from tidemark.functions.text import searchable_text
 from tidemark.functions.vectors import vector_metadata
 from tidemark.plans.once import compute_once
 
@@ -42,7 +38,7 @@ def score_from_change(df: DataFrame) -> DataFrame:
     A payload without a usable change has no score, and its reasoning says so.
     """
     change = safe_double(F.get_json_object("payload", "$.percent_change_24h"))
-    scored = df.withColumn("_change", change)
+    scored = compute_once(df, {"_change": change})
     value = F.col("_change")
     return scored.withColumns(
         {
@@ -168,13 +164,51 @@ def embed_with_model(
     return df.mapInPandas(call, schema)
 
 
+# Payload fields the searchable text and the vector metadata are made of.
+_TEXT_FIELDS = ["symbol", "source", "price_usd", "percent_change_24h", "news_headline", "news_content"]
+_NUMBER_FIELDS = ["price_usd", "percent_change_24h"]
+
+
 def with_search_text(df: DataFrame, payload_col: str, reasoning_col: str) -> DataFrame:
-    """Add the parsed payload ``document`` and its ``search_text``; one parse per row."""
+    """Add ``document``, the payload fields, and the ``search_text`` made of them.
+
+    ``document`` holds the fields as text, under ``numbers`` those that are
+    JSON numbers, and the ``keys`` present. A price or change that is neither a
+    number nor empty has no number format: such a row gets no text.
+    """
+    payload = F.col(payload_col)
+    names = [f"_text_{name}" for name in _TEXT_FIELDS]
+    texts = df.select("*", F.json_tuple(payload, *_TEXT_FIELDS).alias(*names))
+    fields = [F.col(drawn).alias(name) for drawn, name in zip(names, _TEXT_FIELDS)]
+    numbers = F.from_json(payload, ", ".join(f"{n} DOUBLE" for n in _NUMBER_FIELDS))
     parsed = compute_once(
-        df, {"document": F.from_json(F.col(payload_col), SEARCH_FIELDS)}
+        texts,
+        {
+            "document": F.struct(
+                *fields,
+                numbers.alias("numbers"),
+                F.json_object_keys(payload).alias("keys"),
+            )
+        },
+    ).drop(*names)
+    document = F.col("document")
+
+    def unformattable(name: str) -> Column:
+        text = document[name]
+        return F.coalesce(
+            document["numbers"][name].isNull() & ~text.isin("", "false"), F.lit(False)
+        )
+
+    text = searchable_text(
+        document["symbol"],
+        document["numbers"]["price_usd"],
+        document["numbers"]["percent_change_24h"],
+        document["news_headline"],
+        document["news_content"],
+        F.col(reasoning_col),
     )
-    text = document_searchable_text(F.col("document"), F.col(reasoning_col))
-    return compute_once(parsed, {"search_text": text})
+    usable = ~(unformattable("price_usd") | unformattable("percent_change_24h"))
+    return compute_once(parsed, {"search_text": F.when(usable, text)})
 
 
 def vectorise(
@@ -184,28 +218,30 @@ def vectorise(
 ) -> DataFrame:
     """Add ``values`` and ``metadata`` of the vector record of each message.
 
-    Needs payload, score and reasoning columns. A payload that names a null
-    symbol or headline, or whose text cannot be built, gets neither; the row
-    itself is kept.
+    Needs payload, score and reasoning columns. A symbol or headline that is
+    given but is no text, or a text that cannot be built, means neither; the
+    row itself is kept.
     """
-    document = F.col("document")
+    payload, document = F.col("payload"), F.col("document")
 
-    def no_text(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(document[name]) != "STRING", F.lit(False))
+    def absent_or_text(name: str) -> Column:
+        text = document[name]
+        given = F.array_contains(document["keys"], name)
+        return ~given | (text.isNotNull() & string_only(payload, name, text))
 
     metadata = vector_metadata(
-        variant_text(document["symbol"]),
+        document["symbol"],
         document["source"],
         F.col("score"),
-        variant_number(document["price_usd"]),
-        variant_number(document["percent_change_24h"]),
-        variant_text(document["news_headline"]),
+        document["numbers"]["price_usd"],
+        document["numbers"]["percent_change_24h"],
+        document["news_headline"],
         F.col("reasoning"),
         timestamp,
     )
     prepared = with_search_text(df, "payload", "reasoning").withColumn(
         "search_text",
-        F.when(~no_text("symbol") & ~no_text("news_headline"), F.col("search_text")),
+        F.when(absent_or_text("symbol") & absent_or_text("news_headline"), F.col("search_text")),
     )
     embedded = embed(prepared, "search_text", "_vector")
     return (

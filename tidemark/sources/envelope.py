@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numbers import safe_double
 from tidemark.functions.payload import has_key, is_json_object, scalar_only
 from tidemark.functions.times import moment
+from tidemark.plans.once import compute_once
 from tidemark.sources.schemas import BROKER_RECORD, MARKET_MESSAGE_AVRO
 
 # topics' retention in hours and the source when none is named.
@@ -42,19 +43,17 @@ def decode_envelope(df: DataFrame) -> DataFrame:
     hash of its content, which stays the same on a replay.
     """
     raw = F.try_to_binary(F.col("data"), F.lit("base64"))
-    decoded = df.withColumn("_text", F.when(raw.isNotNull(), F.try_validate_utf8(raw.cast("string"))))
+    decoded = compute_once(df, {"_text": F.try_validate_utf8(raw.cast("string"))})
     text = F.col("_text")
-    error = (
-        F.when(F.col("data").isNull() | (F.col("data") == ""), EMPTY)
-        .when(~F.coalesce(is_json_object(text), F.lit(False)), UNDECODABLE)
+    error = F.when(F.col("data").isNull() | (F.col("data") == ""), EMPTY).when(
+        ~F.coalesce(is_json_object(text), F.lit(False)), UNDECODABLE
     )
-    return decoded.withColumn("error", error).select(
+    usable = F.col("error").isNull()
+    return compute_once(decoded, {"error": error}).select(
         F.coalesce("id", F.sha2(F.coalesce("data", F.lit("")), 256)).alias("message_id"),
-        F.when(F.col("error").isNull(), text).alias("payload"),
+        F.when(usable, text).alias("payload"),
         "data",
-        F.when(
-            F.col("error").isNull(), resolve_source(F.col("attributes"), text)
-        ).alias("source"),
+        F.when(usable, resolve_source(F.col("attributes"), text)).alias("source"),
         "publish_time",
         "error",
     )
@@ -65,8 +64,12 @@ def decode_json(records: DataFrame) -> DataFrame:
 
     The raw value stays, so a rejected record loses nothing.
     """
-    text = F.try_validate_utf8(F.col("value").cast("string"))
-    return records.withColumn("payload", F.when(is_json_object(text), text))
+    text = F.col("_text")
+    decoded = compute_once(
+        records, {"_text": F.try_validate_utf8(F.col("value").cast("string"))}
+    )
+    payload = {"payload": F.when(is_json_object(text), text)}
+    return compute_once(decoded, payload).drop("_text")
 
 
 def decode_avro(

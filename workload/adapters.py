@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import clamp_score
+from tidemark.plans.once import compute_once
 
 # The event types of the given table, in alphabetical order.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -65,7 +66,7 @@ def score_of(k: Column) -> Column:
 def bronze(events: DataFrame) -> DataFrame:
     """Every event as a bronze row."""
     k = F.col("_k")
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(events, {"_k": k_of()}).select(
         F.concat(F.lit("evt-"), "event_id").alias("id"),
         _payload(k).alias("raw_payload"),
         F.concat(F.lit("src"), F.col("user_id") % 20).alias("source"),
@@ -79,7 +80,7 @@ def bronze(events: DataFrame) -> DataFrame:
 def staged_columns(events: DataFrame) -> DataFrame:
     """Message fields straight from the events, without the JSON round trip."""
     k = F.col("_k")
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(events, {"_k": k_of()}).select(
         F.concat(F.lit("evt-"), "event_id").alias("id"),
         F.when(k != 13, F.col("event_type")).alias("symbol"),
         F.col("value").alias("price_usd"),
@@ -119,9 +120,11 @@ def envelopes(events: DataFrame) -> DataFrame:
         .otherwise(encoded(_payload(k)))
     )
     named = F.create_map(F.lit("source"), F.concat(F.lit("src"), F.col("user_id") % 20))
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(
+        compute_once(events, {"_k": k_of()}), {"data": data}
+    ).select(
         F.when(k != 5, F.concat(F.lit("evt-"), "event_id")).alias("id"),
-        data.alias("data"),
+        "data",
         F.when(k % 3 == 0, named).alias("attributes"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("publish_time"),
     )
@@ -155,7 +158,7 @@ def topic_records(events: DataFrame) -> DataFrame:
         .when(k == 19, F.encode(F.lit("[]"), "UTF-8"))
         .otherwise(F.encode(text, "UTF-8"))
     )
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(events, {"_k": k_of()}).select(
         F.encode("event_type", "UTF-8").alias("key"),
         value.alias("value"),
         F.lit("market-data").alias("topic"),
@@ -189,7 +192,7 @@ def replies(events: DataFrame) -> DataFrame:
             )
         )
     )
-    return events.withColumn("_k", k_of()).select("event_id", reply.alias("reply"))
+    return compute_once(events, {"_k": k_of()}).select("event_id", reply.alias("reply"))
 
 
 def vector_records(embeddings: DataFrame) -> DataFrame:
@@ -239,7 +242,7 @@ def client_actions(events: DataFrame) -> DataFrame:
         .when((F.col("event_type") == "error") & (k < 50), "disconnect")
         .otherwise("subscribe")
     )
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(events, {"_k": k_of()}).select(
         F.concat(F.lit("c"), "user_id").alias("client"),
         "ts",
         F.col("event_id").alias("seq"),
@@ -264,7 +267,7 @@ def metric_events(events: DataFrame) -> DataFrame:
             F.lit("zone"), (k % 2).cast("string"), F.lit("app"), F.lit("web")
         ),
     )
-    return events.withColumn("_k", k_of()).select(
+    return compute_once(events, {"_k": k_of()}).select(
         "event_id", "ts", name.alias("name"), attributes.alias("attributes"), "value"
     )
 
