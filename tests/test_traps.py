@@ -94,6 +94,13 @@ def test_lookback_includes_its_bound(frame):
     assert [r.id for r in staged.collect()] == ["0"]
 
 
+def test_rollup_by_arrival_or_by_event_time(frame):
+    rows = [("1", '{"symbol": "a", "timestamp": "2024-01-01T03:20:00"}', "s", at(5), 5.0, "r", "{}")]
+    staged = stage_market_data(frame(rows, BRONZE), AS_OF, with_event_time=True)
+    assert hourly_sentiment(staged, AS_OF).first().hour_timestamp == at(5)
+    assert hourly_sentiment(staged, AS_OF, "event_time").first().hour_timestamp == at(3)
+
+
 def test_clamp_keeps_missing_scores_missing(frame):
     df = frame([(None,), (0.0,), (11.0,), (5.5,), (float("nan"),)], "s double")
     assert values(df, clamp_score(F.col("s"))) == [None, 1.0, 10.0, 5.5, 10.0]

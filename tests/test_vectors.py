@@ -50,6 +50,14 @@ def test_batch_equals_brute_force_in_any_number_of_passes(spark, cloud):
             assert mine == brute(points, points[i * 10], 5)
 
 
+def test_repeated_query_ids_are_refused(spark, cloud):
+    df, points = cloud
+    rows = [("same", points[i].tolist()) for i in range(5)]
+    queries = spark.createDataFrame(rows, "query_id string, values array<float>")
+    with pytest.raises(ValueError, match="unique"):
+        vectors.search_batch(df, queries, 5, 2)
+
+
 def test_queries_without_direction_or_vector_find_nothing(spark, cloud):
     df, _ = cloud
     queries = spark.createDataFrame(

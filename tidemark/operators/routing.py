@@ -86,19 +86,12 @@ def subscribe(messages: DataFrame, symbols: list[str] | None = None) -> DataFram
 
 
 def connected_clients(actions: DataFrame) -> DataFrame:
-    """Clients heard of after their last disconnect (client, ts, seq, action)."""
-    moment = F.struct("ts", "seq")
-    left = F.col("action") == DISCONNECT
+    """Clients whose last action (client, ts, seq, action) is not a disconnect."""
+    last = F.max(F.struct("ts", "seq", "action")).alias("_last")
     return (
         actions.groupBy("client")
-        .agg(
-            F.max(F.when(~left, moment)).alias("_heard"),
-            F.max(F.when(left, moment)).alias("_off"),
-        )
-        .filter(
-            F.col("_heard").isNotNull()
-            & (F.col("_off").isNull() | (F.col("_heard") > F.col("_off")))
-        )
+        .agg(last)
+        .filter(F.col("_last.action") != DISCONNECT)
         .select("client")
     )
 

@@ -47,15 +47,20 @@ def stage_market_data(
     bronze: DataFrame,
     as_of: str | datetime,
     hours: int | None = LOOKBACK_HOURS,
-    time_col: str = "ingested_at",
+    with_event_time: bool = False,
 ) -> DataFrame:
     """Typed view of bronze. Rows whose payload names no symbol are left out.
 
     Narrow: one scan, one JSON parse per row, no shuffle. The time bound sits
-    below the parse, so it reaches the file scan.
+    below the parse, so it reaches the file scan. ``with_event_time`` adds the
+    message's own timestamp as ``event_time``, for rollups by event time
+    instead of by arrival.
     """
-    recent = lookback(bronze, as_of, hours, time_col)
-    fields = extract_scalars(recent, "raw_payload", TEXT_FIELDS + NUMBER_FIELDS)
+    recent = lookback(bronze, as_of, hours)
+    wanted = TEXT_FIELDS + NUMBER_FIELDS + (["timestamp"] if with_event_time else [])
+    fields = extract_scalars(recent, "raw_payload", wanted)
+    type_name = column_type(bronze, "ingested_at")
+    event_time = F.col("timestamp").try_cast(type_name).alias("event_time")
     version = F.get_json_object("processing_metadata", "$.function_version")
     return fields.filter(F.col("symbol").isNotNull()).select(
         "id",
@@ -66,10 +71,11 @@ def stage_market_data(
         "sentiment_reasoning",
         "source",
         "ingested_at",
-        moment(as_of, column_type(bronze, "ingested_at")).alias("processed_at"),
+        moment(as_of, type_name).alias("processed_at"),
         scalar_only(
             F.col("processing_metadata"), "function_version", version
         ).alias("function_version"),
+        *([event_time] if with_event_time else []),
     )
 
 

@@ -22,6 +22,8 @@ SCORE_DIGITS = 4
 
 # Query vectors handed to the tasks at a time; more are searched in further passes.
 QUERIES_PER_PASS = 4096
+# Times a part may be halved before its ids must be the same.
+MAX_SPLITS = 1024
 
 
 def upsert_vectors(existing: DataFrame, updates: DataFrame) -> DataFrame:
@@ -174,6 +176,27 @@ def find_similar(
     )
 
 
+def _bounded_parts(
+    queries: DataFrame, size: int
+) -> Iterator[list[tuple[str, Sequence[float]]]]:
+    """All queries in lists of at most ``size``, cut by a hash of their ids.
+
+    A part that turns out too long is cut in two and read again.
+    """
+    number = max(1, -(-queries.count() // size))
+    parts = [(number, rest) for rest in range(number)]
+    while parts:
+        modulus, rest = parts.pop()
+        chosen = F.pmod(F.xxhash64("query_id"), F.lit(modulus)) == rest
+        rows = queries.filter(chosen).limit(size + 1).collect()
+        if len(rows) > size:
+            if modulus > number * MAX_SPLITS:
+                raise ValueError("query ids must be unique")
+            parts += [(modulus * 2, rest), (modulus * 2, rest + modulus)]
+        elif rows:
+            yield [(row["query_id"], row["values"]) for row in rows]
+
+
 def search_batch(
     vectors: DataFrame,
     queries: DataFrame,
@@ -184,21 +207,18 @@ def search_batch(
 
     The vectors are read once per pass and compared as matrices inside the
     tasks; a task sends k rows per query, never a pair list. A pass holds a
-    bounded number of queries: a larger batch is split by a hash of its ids
-    and every part searched, so no query is left out.
+    bounded number of queries: a larger batch is split by a hash of its ids,
+    which must be unique, and every part is searched.
     """
     check_bounds(search_top_k=top_k)
     stored = _stored(vectors)
     asked = queries.select(F.col("query_id").cast("string"), "values").filter(
         F.col("values").isNotNull()
     )
-    passes = max(1, -(-asked.count() // queries_per_pass))
-    found = []
-    for number in range(passes):
-        part = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number)
-        rows = [(row["query_id"], row["values"]) for row in part.collect()]
-        if rows:
-            found.append(_nearest_in_task(stored, rows, top_k))
+    found = [
+        _nearest_in_task(stored, part, top_k)
+        for part in _bounded_parts(asked, queries_per_pass)
+    ]
     if not found:
         nothing = "query_id string, position int, id string, score double"
         return asked.sparkSession.createDataFrame([], nothing)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.storage import settle
+
 SALTS = 32
 
 
@@ -18,15 +20,16 @@ def salted_join(
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``small`` (one row per key) to ``big`` with every key spread over ``salts`` tasks.
+    """Join ``small`` (one row per key) to ``big``, however hot a key of ``big`` is.
 
-    The salt is a hash of the ``spread`` columns, so a re-run of a lost task
-    sends rows where they went before. ``small`` is repeated per salt. Nothing
-    is forced to broadcast: the adaptive plan does so when the measured size of
-    ``small`` allows it, and otherwise the salted shuffle is already even.
+    ``small`` is written out first, so the planner knows its true size: within
+    the session's broadcast threshold ``big`` is joined where it is, without a
+    shuffle. Beyond it every key is spread over ``salts`` tasks. The salt is a
+    hash of the ``spread`` columns, so a re-run of a lost task sends rows where
+    they went before.
     """
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    repeated = small.withColumn(
+    repeated = settle(small, "small-side").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return big.withColumn("_salt", salt).join(repeated, [on, "_salt"], how).drop("_salt")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -153,10 +154,27 @@ def message_records(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.select(name.alias("key"), value.alias("value"))
 
 
+def avro_records(
+    df: DataFrame, key: str | None = None, schema: str = MARKET_MESSAGE_AVRO
+) -> DataFrame:
+    """Rows as (key, value) topic records with Avro values; needs spark-avro."""
+    from pyspark.sql.avro.functions import to_avro
+
+    name = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    return df.select(
+        name.alias("key"), to_avro(F.struct(*df.columns), schema).alias("value")
+    )
+
+
 def publish(
-    df: DataFrame, topic: str, key: str | None = None, fmt: str = "kafka", **options: str
+    df: DataFrame,
+    topic: str,
+    key: str | None = None,
+    fmt: str = "kafka",
+    encode: Callable[[DataFrame, str | None], DataFrame] = message_records,
+    **options: str,
 ) -> None:
     """Write rows to a topic, or in another format to ``path``."""
-    records = message_records(df, key).withColumn("topic", F.lit(topic))
+    records = encode(df, key).withColumn("topic", F.lit(topic))
     path = options.pop("path", None)
     records.write.format(fmt).mode("append").options(**options).save(path)

@@ -159,7 +159,7 @@ def route_stream(spark, sf_dir):
     def build(stream: DataFrame) -> DataFrame:
         rows = adapters.staged_columns(stream)
         sent = rows.select("id", F.col("event_type").alias("symbol"))
-        return routing.route_events(sent, subscriptions, clients, mode="subscribed")
+        return routing.route_events(sent, subscriptions, clients)
 
     return _appended(events, build, "routed")
 
@@ -223,7 +223,7 @@ FROM messages WHERE sentiment_score IS NOT NULL AND sentiment_score <> 0""",
     "price_alerts_stream": f"""WITH {sql.MESSAGES}
 SELECT id, CASE WHEN percent_change_24h > 0 THEN 'up' ELSE 'down' END AS direction
 FROM messages WHERE abs(percent_change_24h) >= {live.ALERT_THRESHOLD}""",
-    "route_stream": live.ORACLE["route_events_subscribed"],
+    "route_stream": live.ORACLE["route_events"],
     "rate_limit_on_stream": live.ORACLE["rate_limit"],
     "ingest_stream": messages.ORACLE["ingest_bronze"],
 }
