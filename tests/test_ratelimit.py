@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.ratelimit import rate_limit
+from tidemark.operators.ratelimit import rate_limit, rate_limit_step
 
 SCHEMA = "key string, ts timestamp_ntz, id long"
 START = datetime(2024, 1, 1)
@@ -93,3 +93,18 @@ def test_never_more_than_the_limit_in_a_window(frame):
             # Three allowed requests always touch two windows.
             assert third > first
         assert len(moments) <= 2 * (1 + (max(moments) - min(moments)).total_seconds() / 60)
+
+
+def test_step_by_step_equals_a_walk(frame):
+    rows = sorted(make(random.Random(3), {"hot": 900, "b": 100, "late": 5}, 4), key=lambda r: r[1])
+    expected = walk(rows, 60)
+    windows, numbers = None, {}
+    for start in range(0, len(rows), 400):
+        part = frame(rows[start : start + 400], SCHEMA)
+        flagged, windows = rate_limit_step(part, windows, "key", "ts", 3, 60, ("id",), pieces=5)
+        numbers |= {r.id: r.request_number for r in flagged.collect()}
+        newest = max(r[1] for r in rows[start : start + 400])
+        for window in windows.collect():
+            assert window.counted > 0
+            assert window.anchor_us + 60_000_000 > (newest - datetime(1970, 1, 1)).total_seconds() * 1e6
+    assert numbers == expected

@@ -6,6 +6,9 @@ window starts depends on the one before, so a key's requests form a chain. The
 chain is cut into range pieces: every piece works out alone how it hands the
 open window on, the hand-overs are joined up, and then every piece flags its
 rows. No task holds more than one piece, however hot a key is.
+
+Rows have a weight: one for a request, and for a window still open from before
+the number of requests it has already counted, placed at the window's start.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +30,14 @@ WINDOW_SECONDS = 60
 
 _HANDOVER_SCHEMA = (
     f"{PIECE} int, summary boolean, first_key string, last_key string, "
-    "single boolean, settled boolean, rows bigint, last_us bigint, "
+    "single boolean, settled boolean, weight bigint, last_us bigint, "
     "entry_us bigint, anchor_us bigint, count bigint"
 )
 
 Open = tuple[int, int]  # start of the open window in microseconds, requests in it
 
+US, WEIGHT, ANCHOR = "_us", "_weight", "_anchor"
+
 
 def _handovers(pieces: DataFrame, key: str, order: list[str], window_us: int) -> DataFrame:
     """One summary row per piece; for a piece of a single key also a row per entry.
@@ -44,13 +49,15 @@ def _handovers(pieces: DataFrame, key: str, order: list[str], window_us: int) ->
     """
 
     def summarise(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, "_us", *order], kind="stable")
-        us = frame["_us"].to_numpy()
+        frame = frame.sort_values([key, US, *order], kind="stable")
+        us = frame[US].to_numpy()
         keys = frame[key].to_numpy()
         # Rows of the last key; with a single key that is the whole piece.
         last = keys == keys[-1]
         times = us[last]
         n = len(times)
+        # Weight from each row to the end of the piece.
+        rest = frame[WEIGHT].to_numpy()[last][::-1].cumsum()[::-1]
         single = bool(last.all())
         # Follow "first request after my window" to the last window start.
         step = np.searchsorted(times, times + window_us, side="left")
@@ -67,22 +74,22 @@ def _handovers(pieces: DataFrame, key: str, order: list[str], window_us: int) ->
             settled = bool(reach < n and (end[entries] == end[0]).all())
         piece = int(frame[PIECE].iloc[0])
         rows = [
-            (piece, True, str(keys[0]), str(keys[-1]), single, settled, n,
-             int(times[-1]), None, int(times[end[0]]), int(n - end[0]))
+            (piece, True, str(keys[0]), str(keys[-1]), single, settled, int(rest[0]),
+             int(times[-1]), None, int(times[end[0]]), int(rest[end[0]]))
         ]
         if not settled:
             rows += [
                 (piece, False, None, None, None, None, None, None,
-                 int(times[e]), int(times[end[e]]), int(n - end[e]))
+                 int(times[e]), int(times[end[e]]), int(rest[end[e]]))
                 for e in entries
             ]
         names = [PIECE, "summary", "first_key", "last_key", "single", "settled",
-                 "rows", "last_us", "entry_us", "anchor_us", "count"]
+                 "weight", "last_us", "entry_us", "anchor_us", "count"]
         return pd.DataFrame(rows, columns=names).astype(
-            {c: "Int64" for c in ("rows", "last_us", "entry_us", "anchor_us", "count")}
+            {c: "Int64" for c in ("weight", "last_us", "entry_us", "anchor_us", "count")}
         )
 
-    needed = pieces.select(PIECE, key, "_us", *order)
+    needed = pieces.select(PIECE, key, US, WEIGHT, *order)
     return needed.groupBy(PIECE).applyInPandas(summarise, _HANDOVER_SCHEMA)
 
 
@@ -135,7 +142,7 @@ def _open_windows(handovers: DataFrame, window_us: int) -> dict[int, Open]:
                 continue
             anchor, count = left[i - 1]
             if anchor + window_us > own.last_us:
-                left[i] = (anchor, count + own.rows)
+                left[i] = (anchor, count + own.weight)
             else:
                 asked[own[PIECE]] = anchor + window_us
                 later.append(i)
@@ -148,68 +155,141 @@ def _open_windows(handovers: DataFrame, window_us: int) -> dict[int, Open]:
     return opened
 
 
-def rate_limit(
-    requests: DataFrame,
-    key: str,
-    ts: str,
-    limit: int,
-    window_seconds: int = WINDOW_SECONDS,
-    order: tuple[str, ...] = (),
-    pieces: int | None = None,
+def _numbered(
+    rows: DataFrame, key: str, order: list[str], window_us: int, pieces: int | None
 ) -> DataFrame:
-    """Add ``request_number``, ``allowed`` and ``remaining`` to every request.
-
-    ``order`` breaks ties between requests of one moment and should make rows
-    unique. Requests without a key are allowed with the full rest, as when no
-    counter can be reached.
-    """
-    window_us = window_seconds * 1_000_000
-    ties = list(order)
-    known = requests.filter(F.col(key).isNotNull()).withColumn(
-        "_us", epoch_micros(F.col(ts))
-    )
-    cut = range_pieces(known, [key, "_us", *ties], pieces)
-    handovers = settle(_handovers(cut, key, ties, window_us), "handovers")
+    """Rows (with time and weight) with the start of their window and their number in it."""
+    cut = range_pieces(rows, [key, US, *order], pieces)
+    handovers = settle(_handovers(cut, key, order, window_us), "handovers")
     opened = _open_windows(handovers, window_us)
     schema = T.StructType(
-        [f for f in cut.schema.fields if f.name not in (PIECE, "_us")]
-        + [T.StructField("request_number", T.LongType())]
+        [f for f in cut.schema.fields if f.name != PIECE]
+        + [
+            T.StructField(ANCHOR, T.LongType()),
+            T.StructField("request_number", T.LongType()),
+        ]
     )
 
-    def flag(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, "_us", *ties], kind="stable")
-        us = frame["_us"].to_numpy()
+    def number_rows(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values([key, US, *order], kind="stable")
+        us = frame[US].to_numpy()
+        weight = frame[WEIGHT].to_numpy()
         keys = frame[key].to_numpy()
-        number = np.empty(len(us), dtype="int64")
+        anchors = np.empty(len(us), dtype="int64")
+        numbers = np.empty(len(us), dtype="int64")
         edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         bounds = [0, *edges.tolist(), len(us)]
         carried = opened.get(int(frame[PIECE].iloc[0]))
         for start, stop in zip(bounds, bounds[1:]):
             i = start
-            if start == 0 and carried is not None:
-                anchor, count = carried
-                j = int(np.searchsorted(us[:stop], anchor + window_us, side="left"))
-                number[:j] = count + np.arange(1, j + 1)
-                i = j
             while i < stop:
-                j = i + int(np.searchsorted(us[i:stop], us[i] + window_us, side="left"))
-                number[i:j] = np.arange(1, j - i + 1)
+                if i == 0 and carried is not None:
+                    anchor, count = carried
+                    carried = None
+                else:
+                    anchor, count = int(us[i]), 0
+                j = i + int(np.searchsorted(us[i:stop], anchor + window_us, side="left"))
+                anchors[i:j] = anchor
+                numbers[i:j] = count + weight[i:j].cumsum()
                 i = j
-        return frame.drop(columns=[PIECE, "_us"]).assign(request_number=number)
+        return frame.drop(columns=[PIECE]).assign(
+            **{ANCHOR: anchors, "request_number": numbers}
+        )
 
-    counted = cut.groupBy(PIECE).applyInPandas(flag, schema)
+    return cut.groupBy(PIECE).applyInPandas(number_rows, schema)
+
+
+def _verdict(limit: int) -> dict[str, Column]:
     number = F.col("request_number")
-    flagged = counted.withColumns(
-        {
-            "allowed": number <= limit,
-            "remaining": F.greatest(F.lit(0), limit - number).cast("bigint"),
-        }
+    return {
+        "allowed": number <= limit,
+        "remaining": F.greatest(F.lit(0), limit - number).cast("bigint"),
+    }
+
+
+def _weighted(requests: DataFrame, key: str, ts: str) -> DataFrame:
+    return requests.filter(F.col(key).isNotNull()).withColumns(
+        {US: epoch_micros(F.col(ts)), WEIGHT: F.lit(1).cast("bigint")}
     )
-    unknown = requests.filter(F.col(key).isNull()).withColumns(
+
+
+def _without_key(requests: DataFrame, key: str, limit: int) -> DataFrame:
+    """Requests nobody can be counted for: allowed, with the full rest."""
+    return requests.filter(F.col(key).isNull()).withColumns(
         {
             "request_number": F.lit(0).cast("bigint"),
             "allowed": F.lit(True),
             "remaining": F.lit(limit).cast("bigint"),
         }
     )
-    return flagged.unionByName(unknown)
+
+
+def rate_limit(
+    requests: DataFrame,
+    key: str,
+    ts: str,
+    limit: int,
+    window_seconds: int = WINDOW_SECONDS,
+    order: tuple[str, ...] = (),
+    pieces: int | None = None,
+) -> DataFrame:
+    """Add ``request_number``, ``allowed`` and ``remaining`` to every request.
+
+    ``order`` breaks ties between requests of one moment and should make rows
+    unique. Requests without a key are allowed with the full rest, as when no
+    counter can be reached.
+    """
+    numbered = _numbered(
+        _weighted(requests, key, ts), key, list(order), window_seconds * 1_000_000, pieces
+    )
+    flagged = numbered.drop(US, WEIGHT, ANCHOR).withColumns(_verdict(limit))
+    return flagged.unionByName(_without_key(requests, key, limit))
+
+
+def rate_limit_step(
+    requests: DataFrame,
+    open_windows: DataFrame | None,
+    key: str,
+    ts: str,
+    limit: int,
+    window_seconds: int = WINDOW_SECONDS,
+    order: tuple[str, ...] = (),
+    pieces: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(flagged requests, open windows after them) for the next part of a stream.
+
+    ``open_windows`` (key, anchor_us, counted) is what the step before returned.
+    Parts must come in order of time. Windows that ended before the newest
+    request are dropped from the state.
+    """
+    window_us = window_seconds * 1_000_000
+    rows = _weighted(requests, key, ts).withColumn("_request", F.lit(True))
+    if open_windows is not None:
+        earlier = open_windows.select(
+            key,
+            F.col("anchor_us").alias(US),
+            F.col("counted").alias(WEIGHT),
+            F.lit(False).alias("_request"),
+        )
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
+    numbered = settle(
+        _numbered(rows, key, list(order), window_us, pieces), "numbered"
+    )
+    flagged = (
+        numbered.filter("_request")
+        .drop(US, WEIGHT, ANCHOR, "_request")
+        .withColumns(_verdict(limit))
+    )
+    newest = numbered.agg(F.max(US)).scalar()
+    last = F.max(F.struct(ANCHOR, "request_number")).alias("_last")
+    still_open = (
+        numbered.groupBy(key)
+        .agg(last)
+        .select(
+            key,
+            F.col(f"_last.{ANCHOR}").alias("anchor_us"),
+            F.col("_last.request_number").alias("counted"),
+        )
+        .filter(F.col("anchor_us") + window_us > newest)
+    )
+    return flagged.unionByName(_without_key(requests, key, limit)), still_open

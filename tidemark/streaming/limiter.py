@@ -1,83 +1,45 @@
-"""Rate-limit flags on a stream: one open window per identifier as state."""
+"""Rate-limit flags on a stream.
 
-from __future__ import annotations
+Each micro-batch is flagged by the batch operator, which splits a hot
+identifier over tasks; what goes from batch to batch is one row per open window.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.times import epoch_micros
-from tidemark.operators.ratelimit import WINDOW_SECONDS
+from tidemark.operators.ratelimit import WINDOW_SECONDS, rate_limit_step
+from tidemark.streaming.sinks import BATCH, start, write_batch
 
 
-def rate_limit_stream(
+def run_rate_limit(
     requests: DataFrame,
+    path: str,
+    checkpoint: str,
     key: str,
     ts: str,
     limit: int,
     window_seconds: int = WINDOW_SECONDS,
     order: tuple[str, ...] = (),
-    delay: str = "1 hour",
-) -> DataFrame:
-    """Requests with ``request_number``, ``allowed`` and ``remaining``.
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Write ``flags`` under ``path``, and ``windows``, the state after every batch.
 
-    State is the start of the open window and its count, two numbers per
-    identifier, dropped when the watermark passes the window's end. Requests
-    are ordered within a batch; batches must come in order of time.
+    A batch reads the windows its predecessor left and writes its own, so it
+    can be repeated. Batches must come in order of time.
     """
-    window_us = window_seconds * 1_000_000
-    ties = list(order)
-    schema = T.StructType(
-        [*requests.schema.fields, T.StructField("request_number", T.LongType())]
-    )
-    columns = requests.columns
 
-    def count(
-        _: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        frame = pd.concat(list(frames)).sort_values(["_us", *ties], kind="stable")
-        us = frame["_us"].to_numpy()
-        number = np.empty(len(us), dtype="int64")
-        i = 0
-        anchor, counted = state.get if state.exists else (None, 0)
-        while i < len(us):
-            if anchor is None or us[i] >= anchor + window_us:
-                anchor, counted = int(us[i]), 0
-            j = int(np.searchsorted(us, anchor + window_us, side="left"))
-            number[i:j] = counted + np.arange(1, j - i + 1)
-            counted += j - i
-            i = j
-        state.update((anchor, counted))
-        end_ms = (anchor + window_us) // 1000 + 1
-        state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
-        yield frame[columns].assign(request_number=number)
-
-    timed = requests.filter(F.col(key).isNotNull()).withColumn(
-        "_us", epoch_micros(F.col(ts))
-    )
-    counted = (
-        timed.withWatermark(ts, delay)
-        .groupBy(key)
-        .applyInPandasWithState(
-            count,
-            schema,
-            "anchor bigint, counted bigint",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        before = None
+        if batch_id > 0:
+            before = batch.sparkSession.read.parquet(
+                f"{path}/windows/{BATCH}={batch_id - 1}"
+            )
+        flagged, windows = rate_limit_step(
+            batch, before, key, ts, limit, window_seconds, order
         )
-    )
-    number = F.col("request_number")
-    return counted.withColumns(
-        {
-            "allowed": number <= limit,
-            "remaining": F.greatest(F.lit(0), limit - number).cast("bigint"),
-        }
-    )
+        write_batch(windows, f"{path}/windows", batch_id)
+        write_batch(flagged, f"{path}/flags", batch_id)
+
+    return start(requests, handle, checkpoint, available_now=available_now)

@@ -14,7 +14,7 @@ from tidemark.operators import gold, routing, staging
 from tidemark.plans.storage import scratch_path
 from tidemark.streaming import rollups, sinks
 from tidemark.streaming.ingest import run_ingest
-from tidemark.streaming.limiter import rate_limit_stream
+from tidemark.streaming.limiter import run_rate_limit
 from workload import adapters, live, market, messages, sql
 from workload.adapters import table
 
@@ -164,15 +164,19 @@ def route_stream(spark, sf_dir):
     return _appended(events, build, "routed")
 
 
-def rate_limit_on_stream(spark, sf_dir):
-    def build(stream: DataFrame) -> DataFrame:
+def rate_limit_stream(spark, sf_dir):
+    """The hourly limit of every event type, flagged batch by batch."""
+    out, state = scratch_path(spark, "limited"), scratch_path(spark, "state")
+
+    def run(stream: DataFrame) -> StreamingQuery:
         requests = stream.select("event_id", "event_type", "ts")
-        return rate_limit_stream(
-            requests, "event_type", "ts", 2, 3600, order=("event_id",)
+        return run_rate_limit(
+            requests, out, state, "event_type", "ts", 2, 3600, ("event_id",), True
         )
 
-    flagged = _appended(table(spark, sf_dir, "events"), build, "limited")
-    return flagged.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    replay(table(spark, sf_dir, "events"), run)
+    flags = spark.read.parquet(f"{out}/flags").drop(sinks.BATCH)
+    return flags.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def ingest_stream(spark, sf_dir):
@@ -200,7 +204,7 @@ QUERIES = {
         sentiment_updates_stream,
         price_alerts_stream,
         route_stream,
-        rate_limit_on_stream,
+        rate_limit_stream,
         ingest_stream,
     )
 }
@@ -224,6 +228,6 @@ FROM messages WHERE sentiment_score IS NOT NULL AND sentiment_score <> 0""",
 SELECT id, CASE WHEN percent_change_24h > 0 THEN 'up' ELSE 'down' END AS direction
 FROM messages WHERE abs(percent_change_24h) >= {live.ALERT_THRESHOLD}""",
     "route_stream": live.ORACLE["route_events"],
-    "rate_limit_on_stream": live.ORACLE["rate_limit"],
+    "rate_limit_stream": live.ORACLE["rate_limit"],
     "ingest_stream": messages.ORACLE["ingest_bronze"],
 }
