@@ -250,7 +250,7 @@ ranked AS (
          FILTER (WHERE sentiment_category = 'BEARISH' AND place <= 5), '') AS top_bearish
 FROM ranked""",
     "top_per_category": f"""WITH {sql.LATEST_PREVIOUS}
-SELECT * FROM (
+SELECT sentiment_category, CAST(position AS INTEGER) AS position, symbol, sentiment_score FROM (
   SELECT sentiment_category,
          row_number() OVER (PARTITION BY sentiment_category ORDER BY
            CASE WHEN sentiment_category = 'BULLISH' THEN -sentiment_score ELSE sentiment_score END, symbol) AS position,
