@@ -39,11 +39,7 @@ def safe_double(text: Column) -> Column:
     The pattern is tried only on text with a letter that a Java suffix or hex
     digits would need; any other text is left to the cast.
     """
-    odd = F.lit(False)
-    for letter in "dDfF":
-        odd = odd | text.endswith(letter)
-    for letter in "xX":
-        odd = odd | text.contains(letter)
+    odd = text.rlike("[dDfFxX]")
     return F.when(~odd | text.rlike(_FLOAT_TEXT), text.try_cast("double"))
 
 

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.once import compute_once
+
 
 def is_json_object(document: Column) -> Column:
     """True for a JSON object; false for other JSON and for text that is no JSON."""
@@ -67,6 +69,5 @@ def extract_scalars(df: DataFrame, document: str, keys: Sequence[str]) -> DataFr
     drawn = [f"__{key}" for key in keys]
     tupled = df.select("*", F.json_tuple(document, *keys).alias(*drawn))
     doc = F.col(document)
-    return tupled.withColumns(
-        {key: scalar_only(doc, key, F.col(raw)) for key, raw in zip(keys, drawn)}
-    ).drop(*drawn)
+    guarded = {key: scalar_only(doc, key, F.col(raw)) for key, raw in zip(keys, drawn)}
+    return compute_once(tupled, guarded).drop(*drawn)

@@ -14,6 +14,8 @@ def local_session(cores: str = "8", partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture slows down the building of large plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -1,0 +1,19 @@
+"""Using all cores on input that arrives in fewer splits than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, when a scan would leave most of them idle.
+
+    A small file of one row group is read by one task, which then does all the
+    per-row work. Input with a split per core or more is left as it is, so on
+    large tables this changes nothing. Filters and column pruning still reach
+    the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

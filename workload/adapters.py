@@ -6,14 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import clamp_score
+from tidemark.functions.times import latest_time
 from tidemark.plans.once import compute_once
+from tidemark.plans.spread import spread
 
 # The event types of the given table, in alphabetical order.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def as_of(spark: SparkSession, sf_dir: str) -> str:
+    """Newest event time: the moment all replays are run at."""
+    return latest_time(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
 
 
 def k_of(props: str = "props") -> Column:

@@ -7,9 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import latest_time
 from tidemark.operators import gold, quality, staging
-from workload import sql
+from workload import adapters, sql
 from workload.adapters import bronze, table
 
 
@@ -22,7 +21,7 @@ def _redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     staged = staging.stage_market_data(bronze(events), as_of, None)
     return staging.silver_market_data(staged)
 
@@ -60,7 +59,7 @@ def dq_statistics(spark, sf_dir):
 def checkpoint_log(spark, sf_dir):
     """Log row without the run's own id and duration."""
     events = table(spark, sf_dir, "events")
-    run_time = datetime.fromisoformat(latest_time(events, "ts"))
+    run_time = datetime.fromisoformat(adapters.as_of(spark, sf_dir))
     return quality.run_checkpoint(
         _scored(spark, sf_dir),
         "sentiment_validation_suite",
@@ -111,7 +110,7 @@ def out_of_range_scores(spark, sf_dir):
 def model_tests(spark, sf_dir):
     """Failing rows of every declared model test, over all four models."""
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     staged = staging.stage_market_data(bronze(events), as_of, None)
     hourly = gold.hourly_sentiment(staged, as_of)
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import sentiment
-from tidemark.functions.times import iso_text, latest_time
+from tidemark.functions.times import iso_text
 from tidemark.operators import gold, metrics, ratelimit, routing, staging
 from workload import adapters, sql
 from workload.adapters import table
@@ -90,7 +90,7 @@ def price_alerts(spark, sf_dir):
 
 def trend_events(spark, sf_dir):
     events = _events(spark, sf_dir)
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     staged = staging.stage_market_data(adapters.bronze(events), as_of, None)
     changes = gold.trend_changes(gold.hourly_sentiment(staged, as_of))
     sent = routing.trend_events(changes, iso_text(F.col("hour_timestamp")))

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import latest_time
 from tidemark.operators import gold, serving, staging
 from tidemark.plans.storage import scratch_path
 from tidemark.sources import tables
-from workload import sql
+from workload import adapters, sql
 from workload.adapters import bronze, table
 
 
 def _staged(spark: SparkSession, sf_dir: str, hours: int | None = None):
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     return staging.stage_market_data(bronze(events), as_of, hours), as_of
 
 
@@ -121,7 +120,7 @@ def response_violations(spark, sf_dir):
 def bronze_table(spark, sf_dir):
     """Last day of a written bronze table."""
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     path = scratch_path(spark, "bronze")
     tables.write_bronze(bronze(events), path)
     return tables.read_bronze(spark, path, as_of, 24).select(
@@ -132,7 +131,7 @@ def bronze_table(spark, sf_dir):
 def gold_views(spark, sf_dir):
     """Latest sentiment through the session views over written tables."""
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     bronze_path, hourly_path = scratch_path(spark, "bronze"), scratch_path(spark, "gold")
     tables.write_bronze(bronze(events), bronze_path)
     staged = staging.stage_market_data(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import numbers, sentiment, text
-from tidemark.functions.times import latest_time
 from tidemark.operators import deadletter, enrich, ingest
 from tidemark.sources import envelope
 from workload import adapters, sql
@@ -25,7 +24,7 @@ PROMPT_FIELDS = [
 
 def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     events = table(spark, sf_dir, "events")
-    return events, latest_time(events, "ts")
+    return events, adapters.as_of(spark, sf_dir)
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> ingest.Ingested:

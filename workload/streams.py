@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import sentiment
-from tidemark.functions.times import iso_text, latest_time
+from tidemark.functions.times import iso_text
 from tidemark.operators import gold, routing, staging
 from tidemark.plans.storage import scratch_path
 from tidemark.streaming import rollups, sinks
@@ -68,7 +68,7 @@ def _appended(
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     out, state = scratch_path(spark, "hourly"), scratch_path(spark, "state")
 
     def run(stream: DataFrame) -> StreamingQuery:
@@ -182,7 +182,7 @@ def rate_limit_stream(spark, sf_dir):
 def ingest_stream(spark, sf_dir):
     """Bronze rows written by the continuous ingest."""
     events = table(spark, sf_dir, "events")
-    as_of = latest_time(events, "ts")
+    as_of = adapters.as_of(spark, sf_dir)
     out, state = scratch_path(spark, "ingest"), scratch_path(spark, "state")
 
     def run(stream: DataFrame) -> StreamingQuery:
