@@ -123,7 +123,7 @@ def hashing_embedding(
     vector = F.when(
         F.trim(F.col("_text")) != "", vector_to_array(F.col(unit), "float32")
     )
-    return embedded.withColumn(output_col, vector).drop("_text", words, counts, unit)
+    return compute_once(embedded, {output_col: vector}).drop("_text", words, counts, unit)
 
 
 def word_counts(df: DataFrame, text_col: str, dims: int = EMBEDDING_DIMS) -> DataFrame:
