@@ -164,51 +164,63 @@ def embed_with_model(
     return df.mapInPandas(call, schema)
 
 
-# Payload fields the searchable text and the vector metadata are made of.
-_TEXT_FIELDS = ["symbol", "source", "price_usd", "percent_change_24h", "news_headline", "news_content"]
-_NUMBER_FIELDS = ["price_usd", "percent_change_24h"]
+# Payload fields the searchable text and the vector metadata are made of, and
+# the columns they are held in. Flat columns, not a struct: Catalyst prunes
+# struct fields across generators, and in a chain of them it loses some.
+_TEXTS = {
+    "symbol": "_symbol",
+    "source": "_payload_source",
+    "price_usd": "_price_text",
+    "percent_change_24h": "_change_text",
+    "news_headline": "_headline",
+    "news_content": "_content",
+}
+_NUMBERS = {"price_usd": "_price", "percent_change_24h": "_change"}
+_KEYS = "_keys"
+
+
+def _with_fields(df: DataFrame, payload_col: str) -> DataFrame:
+    """Add the payload fields as text, the numbers among them, and the keys present."""
+    payload = F.col(payload_col)
+    numbers = F.from_json(payload, ", ".join(f"{name} DOUBLE" for name in _NUMBERS))
+    return (
+        df.select("*", F.json_tuple(payload, *_TEXTS).alias(*_TEXTS.values()))
+        .select("*", F.inline(F.array(numbers)).alias(*_NUMBERS.values()))
+        .select("*", F.explode(F.array(F.json_object_keys(payload))).alias(_KEYS))
+    )
 
 
-def with_search_text(df: DataFrame, payload_col: str, reasoning_col: str) -> DataFrame:
-    """Add ``document``, the payload fields, and the ``search_text`` made of them.
+def _with_text(fields: DataFrame, reasoning_col: str) -> DataFrame:
+    """Add the searchable text of the payload fields.
 
-    ``document`` holds the fields as text, under ``numbers`` those that are
-    JSON numbers, and the ``keys`` present. A price or change that is neither a
-    number nor empty has no number format: such a row gets no text.
+    A price or change that is neither a number nor empty has no number format:
+    such a row gets no text.
     """
-    payload = F.col(payload_col)
-    names = [f"_text_{name}" for name in _TEXT_FIELDS]
-    texts = df.select("*", F.json_tuple(payload, *_TEXT_FIELDS).alias(*names))
-    fields = [F.col(drawn).alias(name) for drawn, name in zip(names, _TEXT_FIELDS)]
-    numbers = F.from_json(payload, ", ".join(f"{n} DOUBLE" for n in _NUMBER_FIELDS))
-    parsed = compute_once(
-        texts,
-        {
-            "document": F.struct(
-                *fields,
-                numbers.alias("numbers"),
-                F.json_object_keys(payload).alias("keys"),
-            )
-        },
-    ).drop(*names)
-    document = F.col("document")
-
-    def unformattable(name: str) -> Column:
-        text = document[name]
-        return F.coalesce(
-            document["numbers"][name].isNull() & ~text.isin("", "false"), F.lit(False)
-        )
+
+    def unformattable(text: str, number: str) -> Column:
+        given = ~F.col(text).isin("", "false")
+        return F.coalesce(F.col(number).isNull() & given, F.lit(False))
 
     text = searchable_text(
-        document["symbol"],
-        document["numbers"]["price_usd"],
-        document["numbers"]["percent_change_24h"],
-        document["news_headline"],
-        document["news_content"],
+        F.col("_symbol"),
+        F.col("_price"),
+        F.col("_change"),
+        F.col("_headline"),
+        F.col("_content"),
         F.col(reasoning_col),
     )
-    usable = ~(unformattable("price_usd") | unformattable("percent_change_24h"))
-    return compute_once(parsed, {"search_text": F.when(usable, text)})
+    usable = ~(
+        unformattable("_price_text", "_price") | unformattable("_change_text", "_change")
+    )
+    return compute_once(fields, {"search_text": F.when(usable, text)})
+
+
+_FIELD_COLUMNS = [*_TEXTS.values(), *_NUMBERS.values(), _KEYS]
+
+
+def with_search_text(df: DataFrame, payload_col: str, reasoning_col: str) -> DataFrame:
+    """Add the ``search_text`` of a payload and its reasoning."""
+    return _with_text(_with_fields(df, payload_col), reasoning_col).drop(*_FIELD_COLUMNS)
 
 
 def vectorise(
@@ -222,30 +234,28 @@ def vectorise(
     given but is no text, or a text that cannot be built, means neither; the
     row itself is kept.
     """
-    payload, document = F.col("payload"), F.col("document")
 
     def absent_or_text(name: str) -> Column:
-        text = document[name]
-        given = F.array_contains(document["keys"], name)
-        return ~given | (text.isNotNull() & string_only(payload, name, text))
+        text = F.col(_TEXTS[name])
+        given = F.array_contains(_KEYS, name)
+        return ~given | (text.isNotNull() & string_only(F.col("payload"), name, text))
 
     metadata = vector_metadata(
-        document["symbol"],
-        document["source"],
+        F.col("_symbol"),
+        F.col("_payload_source"),
         F.col("score"),
-        document["numbers"]["price_usd"],
-        document["numbers"]["percent_change_24h"],
-        document["news_headline"],
+        F.col("_price"),
+        F.col("_change"),
+        F.col("_headline"),
         F.col("reasoning"),
         timestamp,
     )
-    prepared = with_search_text(df, "payload", "reasoning").withColumn(
-        "search_text",
-        F.when(absent_or_text("symbol") & absent_or_text("news_headline"), F.col("search_text")),
+    allowed = absent_or_text("symbol") & absent_or_text("news_headline")
+    prepared = _with_text(_with_fields(df, "payload"), "reasoning").withColumn(
+        "search_text", F.when(allowed, F.col("search_text"))
     )
-    embedded = embed(prepared, "search_text", "_vector")
     return (
-        compute_once(embedded, {"values": F.col("_vector")})
+        embed(prepared, "search_text", "values")
         .withColumn("metadata", F.when(F.col("values").isNotNull(), metadata))
-        .drop("document", "search_text", "_vector")
+        .drop("search_text", *_FIELD_COLUMNS)
     )
