@@ -7,9 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.once import compute_once
 from tidemark.plans.storage import settle
 
 SPACE = r"[\x20\x09-\x0D]+"
+NOT_SPACE = r"[^\x20\x09-\x0D]"
 #: Lines are similar if their words overlap by this share of their union.
 THRESHOLD = 0.85
 #: Words are counted by slots of their hash; the table of counts has this many entries.
@@ -78,9 +80,8 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     classes = rarity_classes(docs, doc, text)
     tokens = (
         _lines(docs, doc, text)
-        .withColumn("words", _words("line"))
-        .where(F.size("words") > 0)
-        .select("doc_id", "line_no", _tokens(F.col("words"), classes).alias("t"))
+        .where(F.col("line").rlike(NOT_SPACE))
+        .select("doc_id", "line_no", _tokens(_words("line"), classes).alias("t"))
     )
     # Of n words, n - ceil(threshold * n) + 1 must hold one in common with any similar line.
     prefix = F.size("t") - F.ceil(F.size("t") * top / whole).cast("int") + 1
@@ -274,20 +275,14 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     gone = settle(gone, "removed-lines")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     joined = whole.join(gone, F.col("row.doc_id") == F.col("_doc"), "left")
-    lines = F.split("row.text", "\n")
+    split = compute_once(joined, {"all": F.split("row.text", "\n")})
     left = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "_gone")
-    cut = (
-        joined.withColumn("all", lines)
-        .withColumn("left", F.when(F.col("_gone").isNotNull(), left))
-        .withColumn(
-            "cut",
-            F.when(
-                F.col("left").isNotNull(),
-                F.array_join(F.transform("left", lambda i: F.get("all", i)), "\n"),
-            ).otherwise(F.col("row.text")),
-        )
-        .where("left IS NULL OR cut RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'")
+    split = compute_once(split, {"left": F.when(F.col("_gone").isNotNull(), left)})
+    shorter = F.array_join(F.transform("left", lambda i: F.get("all", i)), "\n")
+    cut = compute_once(split, {"cut": F.when(F.col("left").isNotNull(), shorter)}).select(
+        "row", "left", F.coalesce("cut", "row.text").alias("cut")
     )
+    cut = cut.where(F.col("left").isNull() | F.col("cut").rlike(NOT_SPACE))
 
     def column(name: str) -> Column:
         if name == "text":

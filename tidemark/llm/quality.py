@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.plans.once import compute_once
+
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -142,7 +144,7 @@ def apply_policy(docs: DataFrame, policy: str = "v1", text: str = "text") -> Dat
     Rows are kept or rejected by their text alone, as in ``ledger``.
     """
     rows = measured(docs, F.col(text), F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    kept = rows.withColumn("failed", failure_bits()).where(~rejected(policy))
+    kept = compute_once(rows, {"failed": failure_bits()}).where(~rejected(policy))
     return kept.select("keep.*")
 
 
