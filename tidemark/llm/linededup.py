@@ -20,6 +20,8 @@ SLOTS = 1 << 16
 LINES = 1 << 31
 LAST_ID = (1 << 63) - 1
 HASH_BITS = 56
+#: Bits of a posting's number: words of the line, place of the word in it, parity bits.
+N_BITS, AT_BITS, PARITY_BITS = 15, 8, 40
 
 
 def _lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -89,7 +91,7 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
         "t",
         F.lit(0).cast("long"),
         lambda bits, x: bits.bitwiseXOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(31)).cast("int"))
+            F.call_function("shiftleft", F.lit(1).cast("long"), (x % PARITY_BITS).cast("int"))
         ),
     )
     return tokens.select(
@@ -103,8 +105,6 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     )
 
 
-#: Bits of a posting's number: words of the line, place of the word in it, parity bits.
-N_BITS, AT_BITS = 20, 11
 
 
 def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
@@ -121,8 +121,8 @@ def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
     ).select(
         "word",
         "id",
-        F.shiftleft(F.least("n", F.lit(n_max)).cast("long"), 32 + AT_BITS)
-        .bitwiseOR(F.shiftleft(F.least("at", F.lit(at_max)).cast("long"), 32))
+        F.shiftleft(F.least("n", F.lit(n_max)).cast("long"), PARITY_BITS + AT_BITS)
+        .bitwiseOR(F.shiftleft(F.least("at", F.lit(at_max)).cast("long"), PARITY_BITS))
         .bitwiseOR(F.col("parity"))
         .alias("packed"),
     )
@@ -130,9 +130,9 @@ def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
     def part(side: str) -> tuple[Column, Column, Column]:
         packed = F.col(f"{side}.packed")
         return (
-            F.shiftright(packed, 32 + AT_BITS),
-            F.shiftright(packed, 32).bitwiseAND(F.lit(at_max).cast("long")),
-            packed.bitwiseAND(F.lit(0xFFFFFFFF).cast("long")),
+            F.shiftright(packed, PARITY_BITS + AT_BITS),
+            F.shiftright(packed, PARITY_BITS).bitwiseAND(F.lit(at_max).cast("long")),
+            packed.bitwiseAND(F.lit((1 << PARITY_BITS) - 1).cast("long")),
         )
 
     (n_a, at_a, bits_a), (n_b, at_b, bits_b) = part("a"), part("b")
@@ -157,35 +157,63 @@ def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
 
 
 def _verified(
-    pairs: DataFrame, firsts: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
 ) -> DataFrame:
-    """The pairs whose whole sets of words are similar, with both lines' places."""
+    """The pairs whose whole sets of words are similar, with both classes' first places.
+
+    Documents are joined with the numbers of their wanted lines, so that only
+    these lines leave them.
+    """
     top, whole = _ratio(threshold)
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct(), "paired")
-    wanted = settle(firsts.join(ids, "s1").select("s1", "doc_id", "line_no"), "paired-lines")
-    number = F.col(doc).cast("long")
-    some = docs.select(number.alias("doc_id"), F.col(text).alias("text")).join(
-        wanted.select("doc_id").distinct(), "doc_id", "left_semi"
+    wanted = (
+        classes.join(ids, "s1")
+        .select(_doc_of("first").alias("doc_id"), F.struct(_line_of("first").alias("line_no"), "s1", "first").alias("w"))
+        .groupBy("doc_id")
+        .agg(F.collect_set("w").alias("wanted"))
     )
-    sets = settle(
-        _lines(some, "doc_id", "text")
-        .join(wanted, ["doc_id", "line_no"])
-        .select(
-            F.col("s1").alias("id"),
-            _place("doc_id", "line_no").alias("place"),
-            F.array_distinct(_words("line")).alias("words"),
-        ),
-        "paired-sets",
+    read = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    split = read.join(settle(wanted, "wanted-lines"), "doc_id").select(
+        F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")
     )
-    both = (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("words").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("words").alias("y")), "b")
-        .withColumn("common", F.size(F.array_intersect("x", "y")))
+    lines = split.select(
+        F.col("w.s1").alias("id"), F.col("w.first").alias("place"), F.get("all", "w.line_no").alias("line")
     )
-    union = F.size("x") + F.size("y") - F.col("common")
-    return both.where(F.col("common") * whole >= union * top).select(
-        "a", "b", "place_a", "place_b"
+    sets = settle(lines.where(F.col("line").isNotNull()), "paired-lines")
+
+    def side(name: str) -> DataFrame:
+        return sets.select(
+            F.col("id").alias(name), F.col("place").alias(f"place_{name}"), F.col("line").alias(f"line_{name}")
+        )
+
+    def words(name: str) -> Column:
+        return F.array_distinct(_words(f"line_{name}"))
+
+    both = (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
+        .select("a", "b", "place_a", "place_b", words("a").alias("x"), words("b").alias("y"))
+        .select(
+            "a",
+            "b",
+            "place_a",
+            "place_b",
+            F.size(F.array_intersect("x", "y")).alias("common"),
+            (F.size("x") + F.size("y")).alias("total"),
+        )
     )
+    similar = compute_once(both, {"enough": F.col("common") * (whole + top) >= F.col("total") * top})
+    return similar.where("enough").select("a", "b", "place_a", "place_b").distinct()
+
+
+def _doc_of(place: Column | str) -> Column:
+    at = F.col(place) if isinstance(place, str) else place
+    number = F.floor(at / LINES).cast("decimal(20,0)").cast("long")
+    return F.when(number != LAST_ID, number)
+
+
+def _line_of(place: Column | str) -> Column:
+    return ((F.col(place) if isinstance(place, str) else place) % LINES).cast("int")
 
 
 def similar_lines(
@@ -206,56 +234,61 @@ def similar_lines(
     join, so a line may be repeated any number of times.
 
     Null and blank lines are not returned. Lines without a document id come
-    last, as those of one document; rows that repeat an id are the same document,
-    and lines at the same place of it do not remove each other. An empty table
-    gives an empty result; further columns are not read.
+    last, as those of one document, and are compared for equal sets only. Ids
+    should be unique: rows that repeat one are the same document, and lines at
+    the same place of it do not remove each other. An empty table gives an empty
+    result; further columns are not read.
     """
     lines = settle(_signed(docs, doc, text, threshold), "lines")
-    place = _place("doc_id", "line_no")
     keys = ["s1", "s2"]
-    repeated = settle(
+    classes = (
         lines.groupBy(*keys)
-        .agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-        .where("copies > 1")
-        .select(*keys, "first"),
-        "repeated-lines",
+        .agg(
+            F.min(_place("doc_id", "line_no")).alias("first"),
+            F.count("*").alias("copies"),
+            F.first("n").alias("n"),
+            F.first("parity").alias("parity"),
+            F.first("prefix").alias("prefix"),
+        )
+        .select("s1", "s2", "first", "copies", "n", "parity", "prefix")
     )
-    marked = lines.join(repeated, keys, "left")
-    firsts = marked.where(F.coalesce(place == F.col("first"), F.lit(True)))
-    pairs = settle(_candidates(firsts, threshold), "line-pairs")
+    classes = settle(classes, "line-classes")
+    pairs = settle(_candidates(classes, threshold), "line-pairs")
     identified = docs.where(F.col(doc).isNotNull())
-    linked = settle(_verified(pairs, firsts, identified, doc, text, threshold), "line-links")
+    linked = settle(_verified(pairs, classes, identified, doc, text, threshold), "line-links")
     each = linked.select(
-        F.col("a").alias("s1"), "place_a", F.col("place_b").alias("other")
+        F.col("a").alias("s1"), F.col("place_a").alias("own"), F.col("place_b").alias("other")
     ).unionByName(
         linked.select(
-            F.col("b").alias("s1"), F.col("place_b").alias("place_a"), F.col("place_a").alias("other")
+            F.col("b").alias("s1"), F.col("place_b").alias("own"), F.col("place_a").alias("other")
         )
     )
-    earlier = F.when(F.col("other") < F.col("place_a"), F.col("other"))
-    links = settle(
-        each.groupBy("s1").agg(F.count("*").alias("n_links"), F.min(earlier).alias("match")),
-        "linked-lines",
+    earlier = F.when(F.col("other") < F.col("own"), F.col("other"))
+    links = each.groupBy("s1", "own").agg(
+        F.count("*").alias("n_links"), F.min(earlier).alias("match")
+    )
+    # A class of one line without links needs no word about it.
+    known = (
+        classes.join(links, (classes["s1"] == links["s1"]) & (classes["first"] == links["own"]), "left")
+        .where("copies > 1 OR n_links > 0")
+        .select(classes["s1"], "s2", "first", "n_links", "match")
     )
+    place = _place("doc_id", "line_no")
     own = F.coalesce("first", place)
-
-    def doc_of(at: Column) -> Column:
-        number = F.floor(at / LINES).cast("decimal(20,0)").cast("long")
-        return F.when(number != LAST_ID, number)
-
-    def line_of(at: Column) -> Column:
-        return (at % LINES).cast("int")
-
-    return marked.join(links, "s1", "left").select(
-        "doc_id",
-        "line_no",
-        F.col("n").alias("n_words"),
-        doc_of(own).alias("first_doc_id"),
-        line_of(own).alias("first_line_no"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        doc_of(F.col("match")).alias("match_doc_id"),
-        line_of(F.col("match")).alias("match_line_no"),
-        (F.col("match").isNotNull() | (place != own)).alias("removed"),
+    return (
+        lines.select("doc_id", "line_no", "n", *keys)
+        .join(settle(known, "known-lines"), keys, "left")
+        .select(
+            "doc_id",
+            "line_no",
+            F.col("n").alias("n_words"),
+            _doc_of(own).alias("first_doc_id"),
+            _line_of(own).alias("first_line_no"),
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            _doc_of(F.col("match")).alias("match_doc_id"),
+            _line_of(F.col("match")).alias("match_line_no"),
+            (F.col("match").isNotNull() | (place != own)).alias("removed"),
+        )
     )
 
 
