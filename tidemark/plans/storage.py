@@ -30,12 +30,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Whether Spark removes the shuffle files of an execution at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to shared storage and read it back.
 
     The result no longer depends on how its rows were computed: a lost executor
     re-reads files instead of re-running (and perhaps re-splitting) the input.
+    The shuffle files that led to it are of no more use and removed at once.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
