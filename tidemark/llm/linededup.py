@@ -181,6 +181,8 @@ def _verified(
     )
     sets = settle(lines.where(F.col("line").isNotNull()), "paired-lines")
 
+    pairs = settle(_alike(pairs, sets, threshold), "alike-lines")
+
     def side(name: str) -> DataFrame:
         return sets.select(
             F.col("id").alias(name), F.col("place").alias(f"place_{name}"), F.col("line").alias(f"line_{name}")
@@ -206,6 +208,58 @@ def _verified(
     return similar.where("enough").select("a", "b", "place_a", "place_b").distinct()
 
 
+#: Parity bits that a pair is filtered by before its lines are brought together.
+WIDE_BITS, WIDE = 64, 3
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose wider parity bits allow them to be similar.
+
+    A word that one line lacks turns one bit at the most, so no similar pair is
+    lost, and few others are left for the comparison of whole sets.
+    """
+    top, whole = _ratio(threshold)
+    codes = F.transform(F.array_distinct(_words("line")), lambda w: F.xxhash64(w))
+    narrow = compute_once(sets, {"codes": codes})
+
+    def parity(k: int) -> Column:
+        return F.aggregate(
+            "codes",
+            F.lit(0).cast("long"),
+            lambda bits, x: bits.bitwiseXOR(
+                F.call_function(
+                    "shiftleft",
+                    F.lit(1).cast("long"),
+                    F.shiftright(x, 16 * k).bitwiseAND(F.lit(WIDE_BITS - 1)).cast("int"),
+                )
+            ),
+        )
+
+    bits = settle(
+        narrow.select(
+            "id", F.size("codes").alias("n"), *[parity(k).alias(f"p{k}") for k in range(WIDE)]
+        ).distinct(),
+        "line-bits",
+    )
+
+    def side(name: str) -> DataFrame:
+        return bits.select(*[F.col(c).alias(name if c == "id" else f"{c}_{name}") for c in bits.columns])
+
+    differing = sum(
+        (F.bit_count(F.col(f"p{k}_a").bitwiseXOR(F.col(f"p{k}_b"))) for k in range(1, WIDE)),
+        F.bit_count(F.col("p0_a").bitwiseXOR(F.col("p0_b"))),
+    )
+    total = F.col("n_a") + F.col("n_b")
+    most = F.lit(WIDE) * total * (whole - top)
+    return (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
+        .where(differing * (whole + top) <= most)
+        .select("a", "b")
+        .distinct()
+    )
+
+
 def _doc_of(place: Column | str) -> Column:
     at = F.col(place) if isinstance(place, str) else place
     number = F.floor(at / LINES).cast("decimal(20,0)").cast("long")

@@ -132,7 +132,7 @@ def _signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def _tables(classes: DataFrame) -> DataFrame:
-    """(key, id): every table that a set stands in."""
+    """(key, id, size): every table that a set stands in."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -143,12 +143,16 @@ def _tables(classes: DataFrame) -> DataFrame:
                 halves = part.column(1).flatten().to_numpy(zero_copy_only=False)
                 halves = halves.view("uint64").reshape(-1, 2, HALVES)
                 keys = np.concatenate([table_keys(half) for half in halves])
-                ids = np.repeat(part.column(0).to_numpy(), HALVES * HALVES)
+                ids, sizes = (
+                    pa.array(np.repeat(part.column(k).to_numpy(), HALVES * HALVES)) for k in (0, 2)
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(ids)], names=["key", "id"]
+                    [pa.array(keys), ids, sizes], names=["key", "id", "size"]
                 )
 
-    return classes.select("id", "halves").mapInArrow(expand, "key long, id long")
+    return classes.select("id", "halves", "size").mapInArrow(
+        expand, "key long, id long, size long"
+    )
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -189,22 +193,47 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 SEEDS = 16
 
 
-def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
+def _across(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """(a, b): starts with the members of their tables that may be linked with them.
+
+    Sets whose sizes differ too much cannot share 75 % of their union, and those
+    in one component need no further link.
+    """
+    picked = starts.select(
+        "key", F.col("id").alias("seed"), F.col("size").alias("seed_size"), F.col("c").alias("seed_c")
+    )
+    fits = (
+        100 * F.least("size", "seed_size") >= PERCENT * F.greatest("size", "seed_size")
+    ) & (F.col("c") != F.col("seed_c"))
+    joined = rows.join(picked, (rows["key"] == picked["key"]) & fits)
+    return joined.select(
+        F.least("id", "seed").alias("a"), F.greatest("id", "seed").alias("b")
+    ).distinct()
+
+
+def _links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Components of the sets' ids: (node, component) for those linked with another.
 
-    In every table the set with the smallest id is compared with all others.
-    Members that have come into one component need no further comparison. Tables
-    that still hold several components go on with more and more members (seeds),
-    16 times as many each round, until all pairs across components have been
-    compared: no pair of a table is given up, but the pairs within a group of
-    near copies are never listed.
+    In every table the member that meets most others (over all its tables) is
+    compared with the rest: the original of a group of near copies, if it is
+    there. Members that have come into one component need no further comparison.
+    Tables that still hold several components go on with more and more members,
+    16 times as many each round and the same ones in all tables, until all
+    pairs across components have been compared: no pair of a table is given up,
+    but the pairs within a group of near copies are never listed.
     """
     keyed = _tables(classes)
-    shared = keyed.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n"))
     shared = settle(shared.where("n > 1"), "shared-tables")
-    rows = settle(keyed.join(shared, "key"), "table-rows")
-    pairs = rows.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    tested = settle(pairs.distinct(), "pairs")
+    rows = settle(keyed.join(shared, "key").withColumn("c", F.col("id")), "table-rows")
+    met = rows.groupBy("id").agg(F.sum("n").alias("met"))
+    centres = (
+        rows.join(settle(met, "meetings"), "id")
+        .groupBy("key")
+        .agg(F.max_by("id", F.col("met") * 64 + F.pmod(F.xxhash64("id"), F.lit(64))).alias("id"))
+    )
+    centres = settle(centres.join(classes.select("id", "size", F.col("id").alias("c")), "id"), "centres")
+    tested = settle(_across(rows, centres), "pairs")
     confirmed = _confirmed(tested, docs)
     seeds = 1
     while True:
@@ -214,26 +243,19 @@ def _links(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
             return found
         seeds *= SEEDS
         now = F.coalesce("component", "id")
-        placed = rows.join(found, rows["id"] == found["node"], "left").select(
-            "key", "id", "n", now.alias("c")
+        placed = rows.drop("c").join(found, rows["id"] == found["node"], "left").select(
+            "key", "id", "size", "n", now.alias("c")
         )
         open_ = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"))
         open_ = settle(open_.where("low <> high").select("key"), "open-tables")
-        rows = settle(
-            placed.where("n > 2").join(open_, "key").select("key", "id", "n", "c"), "open-rows"
-        )
-        chosen = F.pmod(F.xxhash64("id", "key", F.lit(seeds)), F.col("n")) < seeds
-        starts = rows.where(chosen).select(
-            "key", F.col("id").alias("seed"), F.col("c").alias("seed_c")
-        )
-        across = rows.join(starts, "key").where("c <> seed_c")
-        fresh = across.select(
-            F.least("id", "seed").alias("a"), F.greatest("id", "seed").alias("b")
-        ).distinct()
-        fresh = settle(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        rows = rows.select("key", "id", "n")
-        confirmed = confirmed.unionByName(_confirmed(fresh, docs))
-        tested = tested.unionByName(fresh)
+        rows = settle(placed.where("n > 2").join(open_, "key"), "open-rows")
+        # The same ids have the lowest ranks in all tables they share.
+        rank = F.pmod(F.xxhash64("id", F.lit(seeds)), F.lit(1 << 30))
+        starts = rows.where(rank * F.col("n") < seeds * (1 << 30))
+        fresh = _across(rows, starts).join(tested, ["a", "b"], "left_anti")
+        fresh = settle(fresh, "pairs")
+        confirmed = settle(confirmed.unionByName(_confirmed(fresh, docs)), "confirmed")
+        tested = settle(tested.unionByName(fresh), "tested")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -258,7 +280,11 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     classes = settle(
         signed.where(filled)
         .groupBy("sig")
-        .agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves")),
+        .agg(
+            F.min("doc_id").alias("id"),
+            F.first("halves").alias("halves"),
+            F.first("n_shingles").alias("size"),
+        ),
         "sets",
     )
     linked = _links(classes, read.where("doc_id IS NOT NULL AND text IS NOT NULL"))
