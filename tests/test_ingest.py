@@ -134,3 +134,14 @@ def test_bronze_reads_only_needed_days(frame, spark, tmp_path):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and "PushedFilters: [IsNotNull(ingested_at)" in plan
     assert tables.read_bronze(spark, path, AS_OF).count() == 20
+
+
+def test_model_calls_leave_long_ids_alone(frame):
+    from tidemark.operators.enrich import ask_model, embed_with_model
+
+    ids = [(1 << 60) + 1, None, (1 << 60) + 3]
+    df = frame([(i, "text") for i in ids], "acct long, text string")
+    asked = ask_model(df, "text", lambda: lambda texts: ["1"] * len(texts))
+    told = embed_with_model(df, "text", "v", lambda: lambda texts: [[1.0]] * len(texts))
+    assert sorted([r.acct for r in asked.collect()], key=str) == sorted(ids, key=str)
+    assert sorted([r.acct for r in told.collect()], key=str) == sorted(ids, key=str)

@@ -75,3 +75,12 @@ def test_errors(frame):
 def test_unused_attribute_order_in_json(frame):
     df = frame([({"z": "1", "a": None},)], "m map<string,string>")
     assert df.select(metrics.attributes_key(F.col("m"))).first()[0].startswith('{"a"')
+
+
+def test_running_sum_keeps_null_keys_and_skips_null_values(frame):
+    from tidemark.plans.pieces import running_sum
+
+    rows = [("a", 1, None), ("a", 2, 5), (None, 1, 7), (None, 2, None), (None, 3, 1)]
+    df = frame(rows, "k string, t long, v long")
+    got = {(r.k, r.t): r.running for r in running_sum(df, "v", ["t"], by=["k"]).collect()}
+    assert got == {("a", 1): 0, ("a", 2): 5, (None, 1): 7, (None, 2): 7, (None, 3): 8}

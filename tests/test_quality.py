@@ -119,9 +119,3 @@ def test_column_tests(frame):
     assert quality.failing_accepted_range(df, "v", 1, 10).count() == 2
     assert quality.failing_accepted_range(df, "v", low=1).count() == 1
     assert quality.failing_accepted_values(df, "k", ["a"]).collect() == [("b", 1)]
-
-
-def test_sample_is_optional(frame):
-    df = frame([(None,)] * 20, "symbol string")
-    assert quality.validate(df, [quality.not_null("symbol")]).first().element_count == 20
-    assert quality.validate(df, [quality.not_null("symbol")], sample=5).first().element_count == 5

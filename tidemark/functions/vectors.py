@@ -14,17 +14,6 @@ UNKNOWN_SYMBOL = "UNKNOWN"
 UNKNOWN_SOURCE = "unknown"
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity of two equally long arrays; null for a zero vector."""
-    length = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(length > 0, dot(a, b) / length)
-
-
 def vector_metadata(
     symbol: Column,
     source: Column,

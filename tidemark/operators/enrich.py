@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -68,11 +68,11 @@ def ask_model(
         ]
     )
 
-    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
-        for frame in frames:
+        for rows in batches:
             replies, failures = [], []
-            texts = frame[text_col].tolist()
+            texts = rows.column(text_col).to_pylist()
             for start in range(0, len(texts), batch):
                 part = texts[start : start + batch]
                 try:
@@ -83,9 +83,11 @@ def ask_model(
                     broken = isinstance(answer, Exception)
                     replies.append(None if broken or answer is None else str(answer))
                     failures.append(str(answer) if broken else None)
-            yield frame.assign(reply=replies, failure=failures)
+            yield rows.append_column("reply", pa.array(replies, pa.string())).append_column(
+                "failure", pa.array(failures, pa.string())
+            )
 
-    return df.mapInPandas(call, schema)
+    return df.mapInArrow(call, schema)
 
 
 def score_with_model(
@@ -145,10 +147,10 @@ def embed_with_model(
         + [T.StructField(output_col, T.ArrayType(T.FloatType()))]
     )
 
-    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_client()
-        for frame in frames:
-            texts = frame[text_col].tolist()
+        for rows in batches:
+            texts = rows.column(text_col).to_pylist()
             vectors: list = [None] * len(texts)
             present = [i for i, text in enumerate(texts) if text]
             for start in range(0, len(present), batch):
@@ -159,9 +161,10 @@ def embed_with_model(
                     continue
                 for i, answer in zip(part, answers):
                     vectors[i] = None if answer is None else [float(x) for x in answer]
-            yield frame.assign(**{output_col: vectors})
+            found = pa.array(vectors, pa.list_(pa.float32()))
+            yield rows.append_column(output_col, found)
 
-    return df.mapInPandas(call, schema)
+    return df.mapInArrow(call, schema)
 
 
 # Payload fields the searchable text and the vector metadata are made of, and

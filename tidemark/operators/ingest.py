@@ -14,6 +14,7 @@ from tidemark.operators.deadletter import split_rejects, to_dead_letter
 from tidemark.operators.enrich import hashing_embedding, score_from_change, vectorise
 from tidemark.operators.vectors import NAMESPACE
 from tidemark.sources.envelope import decode_envelope
+from tidemark.plans.storage import settle
 
 # Version and names written to the processing metadata.
 FUNCTION_VERSION = "2.0.0"
@@ -96,7 +97,8 @@ def ingest(
 ) -> Ingested:
     """Decode, score and embed pushed messages; what cannot be decoded is a dead letter."""
     accepted, rejected = split_rejects(decode_envelope(envelopes))
-    enriched = enrich(accepted, as_of, score, embed)
+    # Scores and vectors may come from a hosted model: asked once per message.
+    enriched = settle(enrich(accepted, as_of, score, embed), "enriched")
     return Ingested(
         enriched.drop("values", "metadata"),
         vector_records(enriched),

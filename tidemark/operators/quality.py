@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.schemas import BRONZE, QUALITY_LOG
 
-# Statuses of a checkpoint and the size of a validation sample.
+# Statuses of a checkpoint.
 PASSED, FAILED, ERROR = "passed", "failed", "error"
-SAMPLE_ROWS = 10_000
 
 @dataclass(frozen=True)
 class Check:
@@ -211,20 +210,17 @@ def _columns(df: DataFrame, check: Check) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(row)))
 
 
-def validate(
-    df: DataFrame, suite: str | Sequence[Check], sample: int | None = None
-) -> DataFrame:
-    """One result row per check. ``sample`` looks at that many rows only."""
+def validate(df: DataFrame, suite: str | Sequence[Check]) -> DataFrame:
+    """One result row per check, over all rows."""
     checks = SUITES[suite] if isinstance(suite, str) else list(suite)
-    seen = df if sample is None else df.limit(sample)
     apart = {
         "expect_table_columns_to_match_ordered_list": _columns,
         "expect_column_values_to_be_unique": _uniqueness,
     }
-    parts = [apart[c.kind](seen, c) for c in checks if c.kind in apart]
+    parts = [apart[c.kind](df, c) for c in checks if c.kind in apart]
     row_wise = [c for c in checks if c.kind not in apart]
     if row_wise:
-        parts.append(_row_wise(seen, row_wise))
+        parts.append(_row_wise(df, row_wise))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -252,7 +248,6 @@ def run_checkpoint(
     checkpoint_name: str,
     table_name: str,
     run_time: datetime,
-    sample: int | None = None,
 ) -> DataFrame:
     """Run a suite and return its one log row.
 
@@ -263,7 +258,7 @@ def run_checkpoint(
     started = time.monotonic()
     spark = df.sparkSession
     try:
-        results = validate(df, suite, sample).collect()
+        results = validate(df, suite).collect()
     except Exception as error:
         row = (
             checkpoint_name,

@@ -8,6 +8,8 @@ what one piece needs to know of those before it is a small summary.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,20 +45,22 @@ def running_sum(
 
     Each piece sums its own rows; the sums of the pieces before it, one row per
     piece and key, give the offset. ``value`` should be exact (whole or decimal).
+    A null value adds nothing, and null keys are a group like any other.
     """
     cut = range_pieces(df, [*by, *order], pieces)
     groups = [*by, PIECE]
     totals = cut.groupBy(*groups).agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(*by).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")
-    )
+    offset = F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset")
+    names = {column: f"_of_{i}" for i, column in enumerate(groups)}
+    offsets = totals.select(*[F.col(c).alias(n) for c, n in names.items()], offset)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
     within = Window.partitionBy(*groups).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        cut.withColumn("_inside", F.sum(value).over(within))
-        .join(offsets, groups)
+        cut.withColumn("_inside", F.coalesce(F.sum(value).over(within), F.lit(0)))
+        .join(offsets, same)
         .withColumn("running", F.col("_inside") + F.col("_offset"))
-        .drop("_inside", "_offset", PIECE)
+        .drop("_inside", "_offset", PIECE, *names.values())
     )

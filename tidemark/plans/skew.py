@@ -12,6 +12,13 @@ from tidemark.plans.storage import settle
 SALTS = 32
 
 
+def _broadcastable(df: DataFrame) -> bool:
+    """Whether a written table's size is within the session's broadcast threshold."""
+    session = df.sparkSession._jsparkSession.sessionState()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= session.conf().autoBroadcastJoinThreshold()
+
+
 def salted_join(
     big: DataFrame,
     small: DataFrame,
@@ -29,7 +36,10 @@ def salted_join(
     they went before.
     """
     salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    repeated = settle(small, "small-side").withColumn(
+    written = settle(small, "small-side")
+    if _broadcastable(written):
+        return big.join(F.broadcast(written), on, how)
+    repeated = written.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return big.withColumn("_salt", salt).join(repeated, [on, "_salt"], how).drop("_salt")

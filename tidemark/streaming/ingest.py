@@ -12,6 +12,7 @@ from tidemark.operators.deadletter import split_rejects, to_dead_letter
 from tidemark.operators.enrich import hashing_embedding, score_from_change
 from tidemark.operators.ingest import Embedder, Scorer, enrich, vector_records
 from tidemark.sources.envelope import decode_envelope
+from tidemark.plans.storage import settle
 from tidemark.streaming.sinks import start, write_batch
 
 
@@ -37,13 +38,10 @@ def run_ingest(
         decoded = decode_envelope(batch)
         accepted, rejected = split_rejects(decoded)
         # Scores and vectors may come from a hosted model: made once per batch.
-        enriched = enrich(accepted, now, score, embed).persist()
-        try:
-            write_batch(enriched.drop("values", "metadata"), f"{path}/bronze", batch_id)
-            write_batch(vector_records(enriched), f"{path}/vectors", batch_id)
-            dead = to_dead_letter(rejected, "data", topic, now)
-            write_batch(dead, f"{path}/dead_letters", batch_id)
-        finally:
-            enriched.unpersist()
+        enriched = settle(enrich(accepted, now, score, embed), "enriched")
+        write_batch(enriched.drop("values", "metadata"), f"{path}/bronze", batch_id)
+        write_batch(vector_records(enriched), f"{path}/vectors", batch_id)
+        dead = to_dead_letter(rejected, "data", topic, now)
+        write_batch(dead, f"{path}/dead_letters", batch_id)
 
     return start(envelopes, handle, checkpoint, available_now=available_now)
