@@ -17,20 +17,17 @@ MEASURES = (
 )
 
 
-def _rules() -> dict[str, Column]:
-    words, chars = F.col("n_words"), F.col("word_chars")
-    return {
-        "few_words": words < 50,
-        "repeated_windows": 100 * F.col("n_repeat_words") > 50 * words,
-        "symbols": 10 * F.col("n_symbols") > words,
-        "repeated_lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
-        "word_length": (chars < 3 * words) | (chars > 10 * words),
-        "capitals": 10 * F.col("n_upper") > 3 * chars,
-    }
-
-
+#: What fails each rule, as an expression over the measurements.
+RULES = {
+    "few_words": "n_words < 50",
+    "repeated_windows": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "word_length": "word_chars < 3 * n_words OR word_chars > 10 * n_words",
+    "capitals": "10 * n_upper > 3 * word_chars",
+}
 #: Bit of every rule. A bit is never given to another rule, so ledgers stay readable.
-BITS = {name: 1 << i for i, name in enumerate(_rules())}
+BITS = {name: 1 << i for i, name in enumerate(RULES)}
 #: A policy is the set of rules whose failure rejects a document.
 POLICIES = {
     "base": BITS["few_words"] | BITS["repeated_windows"],
@@ -114,8 +111,8 @@ def measured(docs: DataFrame, text: Column, keep: Column) -> DataFrame:
 def failure_bits() -> Column:
     """The rules a row of measurements fails, as one number."""
     bits = F.lit(0)
-    for name, fails in _rules().items():
-        bits = bits.bitwiseOR(F.when(fails, BITS[name]).otherwise(0))
+    for name, fails in RULES.items():
+        bits = bits.bitwiseOR(F.when(F.expr(fails), BITS[name]).otherwise(0))
     return bits
 
 
