@@ -56,7 +56,10 @@ def shingles(text: str):
     for k in range(size):
         mixed = (mixed ^ codes[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed)
+    mixed.sort()
+    first = np.ones(count, bool)
+    np.not_equal(mixed[1:], mixed[:-1], out=first[1:])
+    return mixed[first]
 
 
 @lru_cache(maxsize=1)
@@ -155,36 +158,52 @@ def _tables(classes: DataFrame) -> DataFrame:
     )
 
 
+def _coded(docs: DataFrame) -> DataFrame:
+    """(doc_id, codes): the whole shingle sets, eight bytes a shingle, ascending."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = iter(batch.column(0).to_pylist())
+            for texts in grouped(value.as_py() for value in batch.column(1)):
+                codes = [shingles(one).tobytes() for one in texts]
+                own = [doc_id for _, doc_id in zip(codes, ids)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own, pa.int64()), pa.array(codes, pa.binary())],
+                    names=["doc_id", "codes"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(code, "doc_id long, codes binary")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of ids whose full sets are similar enough.
 
-    The texts of documents that stand in a pair are brought to the pairs; the
-    sets are built again from them and compared whole.
+    The set of every document that stands in a pair is built again from its
+    text, once however many pairs it is in, and brought to them to be compared whole.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     wanted = settle(wanted, "paired")
-    texts = settle(docs.join(wanted, "doc_id", "left_semi"), "paired-texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    sets = settle(_coded(docs.join(wanted, "doc_id", "left_semi")), "paired-sets")
+    left = sets.select(F.col("doc_id").alias("a"), F.col("codes").alias("codes_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("codes").alias("codes_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for batch in batches:
-            kept, held, codes = [], None, None
+            kept = []
             for row in range(batch.num_rows):
-                one = batch.column(2)[row].as_py()
-                if one != held:
-                    held, codes = one, shingles(one)
-                other = shingles(batch.column(3)[row].as_py())
-                common = len(np.intersect1d(codes, other, assume_unique=True))
-                kept.append(100 * common >= PERCENT * (len(codes) + len(other) - common))
+                one, other = (
+                    np.frombuffer(batch.column(k)[row].as_buffer(), "uint64") for k in (2, 3)
+                )
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                kept.append(100 * common >= PERCENT * (len(one) + len(other) - common))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(kept, pa.bool_())],
                 names=["a", "b", "linked"],
             )
 
-    filled = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    filled = pairs.join(left, "a").join(right, "b").select("a", "b", "codes_a", "codes_b")
     judged = filled.mapInArrow(compare, "a long, b long, linked boolean")
     return settle(judged.where("linked").select("a", "b").distinct(), "confirmed")
 
