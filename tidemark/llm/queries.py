@@ -117,6 +117,87 @@ QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
 
-WORD = r"[^\x20\x09-\x0D]+"
-
-ORACLE = {}
+SPACES = r"[\x20\x09-\x0D]+"
+
+#: SQL over whole tables. The others need compressors, tokenizers, trained models or
+#: alignments, or take SQL too long, and are held against brute force in the tests.
+ORACLE = {
+    "op2_warc": """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM payloads
+), judged AS (
+    SELECT *, payload_bytes >= 100 AND head <> page_id AS again FROM firsts
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN head END AS refers_to,
+       true AS verified
+FROM judged
+""",
+    "op6_quality": rf"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT *, list_filter(regexp_split_to_array(t, '{SPACES}'), lambda w: w <> '') AS words,
+           list_filter(string_split(t, chr(10)),
+                       lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM texts
+), starts AS (
+    SELECT row, words, unnest(range(1, greatest(len(words) - 1, 1))) AS i FROM split
+), windows AS (
+    SELECT row, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS w FROM starts
+), repeated AS (
+    SELECT row, i FROM windows QUALIFY count(*) OVER (PARTITION BY row, w) > 1
+), covered AS (
+    SELECT row, count(DISTINCT place) AS n
+    FROM (SELECT row, unnest([i, i + 1, i + 2]) AS place FROM repeated) GROUP BY row
+), measured AS (
+    SELECT doc_id, len(words) AS n_words,
+           length(array_to_string(words, '')) AS word_chars,
+           length(t) - length(regexp_replace(t, '{quality.SYMBOLS}', '', 'g')) AS n_symbols,
+           len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')) AS n_upper,
+           coalesce(n, 0) AS n_repeat_words
+    FROM split LEFT JOIN covered USING (row)
+), judged AS (
+    SELECT *, CAST({" + ".join(f"CASE WHEN {fails} THEN {quality.BITS[name]} ELSE 0 END" for name, fails in quality.RULES.items())} AS INTEGER) AS failed
+    FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       failed = 0 AS kept
+FROM judged
+""",
+    "op9_neardup": rf"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACES}'),
+               lambda w: w <> '') AS words
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS s
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+          FROM split WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT doc_id, b FROM reached JOIN links ON other = a
+), groups AS (
+    SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM groups LEFT JOIN sizes USING (doc_id)
+""",
+}
