@@ -35,17 +35,45 @@ def test_merged_sums_equal_the_batch_rollup(spark, small):
 
 def test_repeated_batch_replaces_itself(frame, spark, tmp_path):
     path = str(tmp_path / "out")
-    sinks.write_batch(frame([(1,), (2,)], "a int"), path, 0)
-    sinks.write_batch(frame([(3,)], "a int"), path, 1)
-    sinks.write_batch(frame([(1,), (2,)], "a int"), path, 0)
+    sinks.write_batch(frame([(1,), (2,)], "a int"), path, "r1", 0)
+    sinks.write_batch(frame([(3,)], "a int"), path, "r1", 1)
+    sinks.write_batch(frame([(1,), (2,)], "a int"), path, "r1", 0)
     assert sorted(r.a for r in spark.read.parquet(path).collect()) == [1, 2, 3]
 
 
+def test_a_new_checkpoint_keeps_what_another_has_written(frame, spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def run(checkpoint: str) -> None:
+        stream = spark.readStream.schema("a long").parquet(source)
+        state = str(tmp_path / checkpoint)
+
+        def handle(batch, run, batch_id):
+            sinks.write_batch(batch, out, run, batch_id)
+
+        query = sinks.start(stream, handle, state, available_now=True)
+        query.awaitTermination()
+
+    frame([(1,), (2,)], "a long").write.parquet(source)
+    run("first")
+    frame([(3,)], "a long").write.mode("append").parquet(source)
+    run("first")
+    run("second")
+    assert sorted(r.a for r in spark.read.parquet(out).collect()) == [1, 1, 2, 2, 3, 3]
+
+
+def test_the_latest_run_counts(frame, spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_batch(frame([("a", 1)], "k string, n int"), path, "r1", 5)
+    sinks.write_batch(frame([("a", 2)], "k string, n int"), path, "r2", 0)
+    assert [r.n for r in sinks.current_version(spark, path, ["k"]).collect()] == [2]
+
+
 def test_current_version_is_the_last_batch(frame, spark, tmp_path):
     path = str(tmp_path / "out")
     schema = "k string, n int, note string"
-    sinks.write_batch(frame([("a", 1, "x"), ("b", 1, None)], schema), path, 0)
-    sinks.write_batch(frame([("a", 2, None)], schema), path, 1)
+    sinks.write_batch(frame([("a", 1, "x"), ("b", 1, None)], schema), path, "r1", 0)
+    sinks.write_batch(frame([("a", 2, None)], schema), path, "r1", 1)
     got = {tuple(r) for r in sinks.current_version(spark, path, ["k"]).collect()}
     assert got == {("a", 2, None), ("b", 1, None)}
 

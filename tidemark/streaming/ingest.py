@@ -33,15 +33,15 @@ def run_ingest(
     written. Delivery is at least once; a repeated batch replaces itself.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, run: str, batch_id: int) -> None:
         now = F.current_timestamp() if as_of is None else as_of
         decoded = decode_envelope(batch)
         accepted, rejected = split_rejects(decoded)
         # Scores and vectors may come from a hosted model: made once per batch.
         enriched = settle(enrich(accepted, now, score, embed), "enriched")
-        write_batch(enriched.drop("values", "metadata"), f"{path}/bronze", batch_id)
-        write_batch(vector_records(enriched), f"{path}/vectors", batch_id)
+        write_batch(enriched.drop("values", "metadata"), f"{path}/bronze", run, batch_id)
+        write_batch(vector_records(enriched), f"{path}/vectors", run, batch_id)
         dead = to_dead_letter(rejected, "data", topic, now)
-        write_batch(dead, f"{path}/dead_letters", batch_id)
+        write_batch(dead, f"{path}/dead_letters", run, batch_id)
 
     return start(envelopes, handle, checkpoint, available_now=available_now)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.ratelimit import WINDOW_SECONDS, rate_limit_step
-from tidemark.streaming.sinks import BATCH, start, write_batch
+from tidemark.streaming.sinks import batch_folder, start, write_batch
 
 
 def run_rate_limit(
@@ -30,16 +30,16 @@ def run_rate_limit(
     can be repeated. Batches must come in order of time.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, run: str, batch_id: int) -> None:
         before = None
         if batch_id > 0:
             before = batch.sparkSession.read.parquet(
-                f"{path}/windows/{BATCH}={batch_id - 1}"
+                batch_folder(f"{path}/windows", run, batch_id - 1)
             )
         flagged, windows = rate_limit_step(
             batch, before, key, ts, limit, window_seconds, order
         )
-        write_batch(windows, f"{path}/windows", batch_id)
-        write_batch(flagged, f"{path}/flags", batch_id)
+        write_batch(windows, f"{path}/windows", run, batch_id)
+        write_batch(flagged, f"{path}/flags", run, batch_id)
 
     return start(requests, handle, checkpoint, available_now=available_now)

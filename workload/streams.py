@@ -175,7 +175,7 @@ def rate_limit_stream(spark, sf_dir):
         )
 
     replay(table(spark, sf_dir, "events"), run)
-    flags = spark.read.parquet(f"{out}/flags").drop(sinks.BATCH)
+    flags = spark.read.parquet(f"{out}/flags").drop(sinks.RUN, sinks.BATCH)
     return flags.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
