@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import ratelimit
 from tidemark.operators.ratelimit import rate_limit, rate_limit_step
 
 SCHEMA = "key string, ts timestamp_ntz, id long"
@@ -108,3 +109,61 @@ def test_step_by_step_equals_a_walk(frame):
             assert window.counted > 0
             assert window.anchor_us + 60_000_000 > (newest - datetime(1970, 1, 1)).total_seconds() * 1e6
     assert numbers == expected
+
+
+WIDE = "key string, ts timestamp_ntz, id long, acct long"
+BIG = 2**60
+
+
+def wide_rows():
+    """Ids and a column with nulls that a double cannot hold."""
+    return [
+        ("a", START + timedelta(seconds=i), BIG + 2 * i, None if i % 3 else BIG + 2 * i)
+        for i in range(30)
+    ]
+
+
+def test_large_longs_come_back_unchanged(frame):
+    rows = wide_rows()
+    flagged = rate_limit(frame(rows, WIDE), "key", "ts", 3, 10, order=("id",), pieces=4)
+    assert sorted((r.id, r.acct, r.request_number) for r in flagged.collect()) == [
+        (ident, acct, i % 10 + 1) for i, (_, _, ident, acct) in enumerate(rows)
+    ]
+
+
+def test_large_longs_come_back_unchanged_step_by_step(frame):
+    rows = wide_rows()
+    windows, got = None, []
+    for start in (0, 15):
+        part = frame(rows[start : start + 15], WIDE)
+        flagged, windows = rate_limit_step(part, windows, "key", "ts", 3, 10, ("id",), pieces=3)
+        got += [(r.id, r.acct, r.request_number) for r in flagged.collect()]
+    assert sorted(got) == [
+        (ident, acct, i % 10 + 1) for i, (_, _, ident, acct) in enumerate(rows)
+    ]
+
+
+@pytest.mark.parametrize("mean_gap, seconds", [(5, 60), (1, 500), (0.1, 10_000)])
+def test_hand_overs_through_many_levels(frame, monkeypatch, mean_gap, seconds):
+    monkeypatch.setattr(ratelimit, "FAN_IN", 2)
+    rows = make(random.Random(seconds), {"a": 30, "hot": 1500, "z": 200}, mean_gap)
+    flagged = rate_limit(
+        frame(rows, SCHEMA), "key", "ts", 3, seconds, order=("id",), pieces=20
+    )
+    assert {r.id: r.request_number for r in flagged.collect()} == walk(rows, seconds)
+
+
+def test_pieces_are_counted_from_rows_and_jobs_grow_with_levels(spark, frame, monkeypatch):
+    monkeypatch.setattr(ratelimit, "PIECE_ROWS", 40)
+    context = spark.sparkContext
+    jobs = {}
+    for count in (640, 2560):  # 16 and 64 pieces
+        rows = [("hot", START + timedelta(seconds=7 * i), i) for i in range(count)]
+        context.setJobGroup(f"limit-{count}", "")
+        flagged = rate_limit(frame(rows, SCHEMA), "key", "ts", 3, 60, order=("id",))
+        got = {r.id: r.request_number for r in flagged.collect()}
+        jobs[count] = len(context.statusTracker().getJobIdsForGroup(f"limit-{count}"))
+        assert got == walk(rows, 60)
+    context.setJobGroup("", "")
+    # Two more levels' jobs for four times the pieces, not one job for each piece.
+    assert jobs[2560] <= jobs[640] + 12

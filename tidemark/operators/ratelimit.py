@@ -4,8 +4,9 @@ A window opens with a request, lasts a fixed time, and counts every request in
 it, refused ones too; the first request after its end opens the next. Where a
 window starts depends on the one before, so a key's requests form a chain. The
 chain is cut into range pieces: every piece works out alone how it hands the
-open window on, the hand-overs are joined up, and then every piece flags its
-rows. No task holds more than one piece, however hot a key is.
+open window on, neighbouring hand-overs are put together in the tasks, and then
+every piece numbers its rows. Only key, time, weight and row number go through
+Python, batch after batch; the other columns are joined back in the JVM.
 
 Rows have a weight: one for a request, and for a window still open from before
 the number of requests it has already counted, placed at the window's start.
@@ -13,190 +14,339 @@ the number of requests it has already counted, placed at the window's start.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.times import epoch_micros
-from tidemark.plans.pieces import PIECE, range_pieces
+from tidemark.plans.pieces import PIECE
 from tidemark.plans.storage import settle
 
 # Fixed value: length of a window when none is given, in seconds.
 WINDOW_SECONDS = 60
 
+# Rows of one piece, of which a task holds times and weights.
+PIECE_ROWS = 250_000
+
+# Neighbouring hand-overs put together by one task.
+FAN_IN = 16
+
 _HANDOVER_SCHEMA = (
-    f"{PIECE} int, summary boolean, first_key string, last_key string, "
-    "single boolean, settled boolean, weight bigint, last_us bigint, "
-    "entry_us bigint, anchor_us bigint, count bigint"
+    "block bigint, first_key string, last_key string, single boolean, "
+    "first_us bigint, last_us bigint, weight bigint, anchor_us bigint, count bigint, "
+    "entries array<bigint>, anchors array<bigint>, counts array<bigint>"
 )
 
-Open = tuple[int, int]  # start of the open window in microseconds, requests in it
+Open = tuple[str, int, int]  # key, start of the open window in microseconds, requests in it
 
-US, WEIGHT, ANCHOR = "_us", "_weight", "_anchor"
+US, WEIGHT, ANCHOR, ROW, KEY = "_us", "_weight", "_anchor", "_row", "_key"
 
 
-def _handovers(pieces: DataFrame, key: str, order: list[str], window_us: int) -> DataFrame:
-    """One summary row per piece; for a piece of a single key also a row per entry.
+class Handover(NamedTuple):
+    """How a block of neighbouring pieces hands the open window on.
 
-    The summary holds the window left open by the piece's last key when that
-    key starts in the piece. If the key came in from the piece before, the
-    outcome depends on when the window brought along ends: the entry rows give
-    it for each request that may open the first window of this piece.
+    ``anchor_us`` and ``count`` are the window it leaves open when none of its
+    first key comes in. With a single key the outcome depends on when the
+    window brought along ends: ``entries`` are the times of requests that may
+    open the first window here, ``anchors`` and ``counts`` what comes of it. Of
+    entries with the same outcome the last is kept.
     """
 
-    def summarise(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, US, *order], kind="stable")
-        us = frame[US].to_numpy()
-        keys = frame[key].to_numpy()
-        # Rows of the last key; with a single key that is the whole piece.
-        last = keys == keys[-1]
-        times = us[last]
-        n = len(times)
-        # Weight from each row to the end of the piece.
-        rest = frame[WEIGHT].to_numpy()[last][::-1].cumsum()[::-1]
-        single = bool(last.all())
-        # Follow "first request after my window" to the last window start.
-        step = np.searchsorted(times, times + window_us, side="left")
-        end = np.arange(n)
-        while (step < n).any():
-            inner = step < n
-            end[inner] = end[step[inner]]
-            step[inner] = step[step[inner]]
-        entries = np.empty(0, dtype="int64")
-        settled = True
-        if single:
-            reach = np.searchsorted(times, times[0] + window_us, side="left")
-            entries = np.arange(min(reach + 1, n))
-            settled = bool(reach < n and (end[entries] == end[0]).all())
-        piece = int(frame[PIECE].iloc[0])
-        rows = [
-            (piece, True, str(keys[0]), str(keys[-1]), single, settled, int(rest[0]),
-             int(times[-1]), None, int(times[end[0]]), int(rest[end[0]]))
-        ]
-        if not settled:
-            rows += [
-                (piece, False, None, None, None, None, None, None,
-                 int(times[e]), int(times[end[e]]), int(rest[end[e]]))
-                for e in entries
-            ]
-        names = [PIECE, "summary", "first_key", "last_key", "single", "settled",
-                 "weight", "last_us", "entry_us", "anchor_us", "count"]
-        return pd.DataFrame(rows, columns=names).astype(
-            {c: "Int64" for c in ("weight", "last_us", "entry_us", "anchor_us", "count")}
+    block: int
+    first_key: str
+    last_key: str
+    single: bool
+    first_us: int
+    last_us: int
+    weight: int
+    anchor_us: int
+    count: int
+    entries: np.ndarray
+    anchors: np.ndarray
+    counts: np.ndarray
+
+    def left_open(self, brought: Open | None, window_us: int) -> Open:
+        """The window open after this block, by the one open before it."""
+        if brought is None or not self.single or brought[0] != self.first_key:
+            return self.last_key, self.anchor_us, self.count
+        key, anchor, count = brought
+        anchors, counts = self._after(np.array([anchor]), np.array([count]), window_us)
+        return key, int(anchors[0]), int(counts[0])
+
+    def _after(
+        self, anchors: np.ndarray, counts: np.ndarray, window_us: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        ends = anchors + window_us
+        passed = ends > self.last_us
+        entry = np.where(passed, 0, np.searchsorted(self.entries, ends, side="left"))
+        return (
+            np.where(passed, anchors, self.anchors[entry]),
+            np.where(passed, counts + self.weight, self.counts[entry]),
         )
 
-    needed = pieces.select(PIECE, key, US, WEIGHT, *order)
-    return needed.groupBy(PIECE).applyInPandas(summarise, _HANDOVER_SCHEMA)
-
-
-def _look_up(entries: DataFrame, asked: dict[int, int]) -> dict[int, Open]:
-    """For each piece asked: the outcome of the first entry at or after a time."""
-    wanted = reduce(
-        lambda a, b: a | b,
-        [(F.col(PIECE) == p) & (F.col("entry_us") >= us) for p, us in asked.items()],
-    )
-    found = (
-        entries.filter(wanted)
-        .groupBy(PIECE)
-        .agg(F.min_by(F.struct("anchor_us", "count"), "entry_us").alias("open"))
-    )
-    return {row[PIECE]: (row.open.anchor_us, row.open["count"]) for row in found.collect()}
+    def then(self, other: Handover, window_us: int) -> Handover:
+        """Both blocks as one; ``other`` follows this."""
+        _, anchor, count = other.left_open(
+            (self.last_key, self.anchor_us, self.count), window_us
+        )
+        single = self.single and other.single and self.last_key == other.first_key
+        entries = anchors = counts = np.empty(0, dtype="int64")
+        if single:
+            entries = self.entries
+            anchors, counts = other._after(self.anchors, self.counts, window_us)
+            # A window brought along may end after this block.
+            latest = self.first_us + window_us
+            if self.last_us < latest:
+                more = int(np.searchsorted(other.entries, latest, side="left")) + 1
+                entries = np.concatenate([entries, other.entries[:more]])
+                anchors = np.concatenate([anchors, other.anchors[:more]])
+                counts = np.concatenate([counts, other.counts[:more]])
+            entries, anchors, counts = _distinct(entries, anchors, counts)
+        return Handover(
+            self.block, self.first_key, other.last_key, single, self.first_us,
+            other.last_us, self.weight + other.weight, anchor, count,
+            entries, anchors, counts,
+        )
+
+
+def _distinct(
+    entries: np.ndarray, anchors: np.ndarray, counts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The last of neighbouring entries with one outcome."""
+    last = np.append((anchors[1:] != anchors[:-1]) | (counts[1:] != counts[:-1]), True)
+    return entries[last], anchors[last], counts[last]
+
+
+def _of_piece(
+    piece: int, first: str, last: str, single: bool, times: np.ndarray,
+    weights: np.ndarray, window_us: int,
+) -> Handover:
+    """Hand-over of one piece by the sorted times of its last key."""
+    n = len(times)
+    # Weight from each row to the end of the piece.
+    rest = weights[::-1].cumsum()[::-1]
+    # Follow "first request after my window" to the last window start.
+    step = np.searchsorted(times, times + window_us, side="left")
+    end = np.arange(n)
+    while (step < n).any():
+        inner = step < n
+        end[inner] = end[step[inner]]
+        step[inner] = step[step[inner]]
+    entries = anchors = counts = np.empty(0, dtype="int64")
+    if single:
+        reach = int(np.searchsorted(times, times[0] + window_us, side="left"))
+        at = end[: reach + 1]
+        entries, anchors, counts = _distinct(times[: reach + 1], times[at], rest[at])
+    return Handover(
+        piece, first, last, single, int(times[0]), int(times[-1]), int(rest[0]),
+        int(times[end[0]]), int(rest[end[0]]), entries, anchors, counts,
+    )
+
+
+def _runs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, positions at which piece or key changes) of a batch in order."""
+    pieces = batch.column(PIECE).to_numpy()
+    keys = batch.column(KEY)
+    changed = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
+    return pieces, np.flatnonzero(changed | (pieces[1:] != pieces[:-1])) + 1
+
+
+def _handovers(narrow: DataFrame, window_us: int) -> DataFrame:
+    """One row per piece; ``narrow`` is in order and holds whole pieces in a partition."""
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = {
+            "first_key": pa.string(), "last_key": pa.string(), "single": pa.bool_(),
+            "entries": pa.list_(pa.int64()), "anchors": pa.list_(pa.int64()),
+            "counts": pa.list_(pa.int64()),
+        }
+
+        def row(piece, first, last, single, times, weights):
+            found = _of_piece(
+                piece, first, last, single, np.concatenate(times),
+                np.concatenate(weights), window_us,
+            )
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], types.get(n, pa.int64())) for n, v in found._asdict().items()],
+                names=list(Handover._fields),
+            )
+
+        piece = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pieces, edges = _runs(batch)
+            us, weight = batch.column(US).to_numpy(), batch.column(WEIGHT).to_numpy()
+            keys = batch.column(KEY)
+            starts = np.append(0, np.flatnonzero(pieces[1:] != pieces[:-1]) + 1)
+            for a, b in zip(starts, np.append(starts[1:], len(us))):
+                # Only the last key of the piece hands a window on.
+                inside = edges[(edges > a) & (edges < b)]
+                tail = int(inside[-1]) if len(inside) else a
+                here = keys[int(a)].as_py()
+                if piece != int(pieces[a]):
+                    if piece is not None:
+                        yield row(piece, first, last, single, times, weights)
+                    piece, first, last, single = int(pieces[a]), here, here, True
+                    times, weights = [], []
+                if len(inside) or here != last:
+                    single, last = False, keys[tail].as_py() if len(inside) else here
+                    times, weights = [], []
+                times.append(us[tail:b])
+                weights.append(weight[tail:b])
+        if piece is not None:
+            yield row(piece, first, last, single, times, weights)
+
+    return narrow.mapInArrow(summarise, _HANDOVER_SCHEMA)
+
+
+def _blocks(frame: pd.DataFrame) -> list[Handover]:
+    rows = frame.sort_values("block")[list(Handover._fields)].itertuples(index=False)
+    arrays = ("entries", "anchors", "counts")
+    return [
+        (h := Handover(*r))._replace(
+            **{a: np.asarray(getattr(h, a), dtype="int64") for a in arrays}
+        )
+        for r in rows
+    ]
+
+
+def _put_together(level: DataFrame, window_us: int) -> DataFrame:
+    """Hand-overs of FAN_IN neighbours as one; gives the next level."""
+
+    def compose(frame: pd.DataFrame) -> pd.DataFrame:
+        blocks = _blocks(frame)
+        whole = blocks[0]
+        for block in blocks[1:]:
+            whole = whole.then(block, window_us)
+        whole = whole._replace(block=whole.block // FAN_IN)
+        return pd.DataFrame([whole], columns=list(Handover._fields))
+
+    return level.groupBy(_parent()).applyInPandas(compose, _HANDOVER_SCHEMA)
+
+
+def _parent() -> Column:
+    return F.floor(F.col("block") / FAN_IN).alias("parent")
+
+
+def _brought(level: DataFrame, above: DataFrame | None, window_us: int) -> DataFrame:
+    """(block, key, anchor_us, count) of each block with a window open before it."""
+
+    def walk(frame: pd.DataFrame) -> pd.DataFrame:
+        opened = None
+        if bool(frame["_open"].iloc[0]):
+            opened = tuple(frame[["_key", "_anchor", "_count"]].iloc[0])
+        found = []
+        for block in _blocks(frame):
+            if opened is not None and opened[0] == block.first_key:
+                found.append((block.block, *opened))
+            opened = block.left_open(opened, window_us)
+        return pd.DataFrame(found, columns=["block", KEY, "anchor_us", "count"])
+
+    if above is None:
+        given = level.select(
+            "*", F.lit(False).alias("_open"), F.lit("").alias("_key"),
+            F.lit(0).cast("bigint").alias("_anchor"), F.lit(0).cast("bigint").alias("_count"),
+        )
+    else:
+        state = above.select(
+            F.col("block").alias("_parent"), F.col(KEY).alias("_above_key"),
+            F.col("anchor_us").alias("_above_anchor"), F.col("count").alias("_above_count"),
+        )
+        zero = F.lit(0).cast("bigint")
+        given = level.join(state, _parent() == F.col("_parent"), "left").select(
+            *level.columns,
+            F.col("_parent").isNotNull().alias("_open"),
+            F.coalesce("_above_key", F.lit("")).alias("_key"),
+            F.coalesce("_above_anchor", zero).alias("_anchor"),
+            F.coalesce("_above_count", zero).alias("_count"),
+        )
+    schema = f"block bigint, {KEY} string, anchor_us bigint, count bigint"
+    return given.groupBy(_parent()).applyInPandas(walk, schema)
 
 
-def _open_windows(handovers: DataFrame, window_us: int) -> dict[int, Open]:
+def _open_windows(handovers: DataFrame, window_us: int) -> DataFrame:
     """The window open at the start of every piece whose first key came in open.
 
-    Only summaries, one row per piece, come to the driver. A piece that holds a
-    single key and no pause long enough to forget its entry needs one look-up
-    in the entry rows; those of different keys are made together.
+    Blocks of FAN_IN neighbours are put together level by level, then every
+    block tells its parts what they are brought. The number of Spark jobs grows
+    with the logarithm of the number of pieces.
     """
-    summaries: list[Row] = (
-        handovers.filter("summary").orderBy(PIECE).collect()
-    )
-    entries = handovers.filter(~F.col("summary"))
-    opened: dict[int, Open] = {}
-    left: dict[int, Open] = {}
-    waiting = list(range(len(summaries)))
-    while waiting:
-        asked: dict[int, int] = {}
-        later = []
-        for i in waiting:
-            own = summaries[i]
-            before = summaries[i - 1] if i else None
-            carried = before is not None and before.last_key == own.first_key
-            if carried and i - 1 not in left:
-                # The piece before is not worked out yet. One that forgets its
-                # entry can still be passed on.
-                if own.settled:
-                    left[i] = (own.anchor_us, own["count"])
-                later.append(i)
-                continue
-            if carried:
-                opened[own[PIECE]] = left[i - 1]
-            if not carried or own.settled:
-                left[i] = (own.anchor_us, own["count"])
-                continue
-            anchor, count = left[i - 1]
-            if anchor + window_us > own.last_us:
-                left[i] = (anchor, count + own.weight)
-            else:
-                asked[own[PIECE]] = anchor + window_us
-                later.append(i)
-        if asked:
-            numbers = {s[PIECE]: i for i, s in enumerate(summaries)}
-            for piece, state in _look_up(entries, asked).items():
-                left[numbers[piece]] = state
-                later.remove(numbers[piece])
-        waiting = later
+    levels = [handovers]
+    blocks = (handovers.agg(F.max("block")).first()[0] or 0) + 1
+    while blocks > FAN_IN:
+        levels.append(settle(_put_together(levels[-1], window_us), "handovers"))
+        blocks = -(-blocks // FAN_IN)
+    opened = None
+    for level in reversed(levels):
+        opened = settle(_brought(level, opened, window_us), "opened")
     return opened
 
 
 def _numbered(
     rows: DataFrame, key: str, order: list[str], window_us: int, pieces: int | None
 ) -> DataFrame:
-    """Rows (with time and weight) with the start of their window and their number in it."""
-    cut = range_pieces(rows, [key, US, *order], pieces)
-    handovers = settle(_handovers(cut, key, order, window_us), "handovers")
-    opened = _open_windows(handovers, window_us)
-    schema = T.StructType(
-        [f for f in cut.schema.fields if f.name != PIECE]
-        + [
-            T.StructField(ANCHOR, T.LongType()),
-            T.StructField("request_number", T.LongType()),
-        ]
-    )
+    """Rows (with time and weight) with the start of their window and their number in it.
 
-    def number_rows(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([key, US, *order], kind="stable")
-        us = frame[US].to_numpy()
-        weight = frame[WEIGHT].to_numpy()
-        keys = frame[key].to_numpy()
-        anchors = np.empty(len(us), dtype="int64")
-        numbers = np.empty(len(us), dtype="int64")
-        edges = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        bounds = [0, *edges.tolist(), len(us)]
-        carried = opened.get(int(frame[PIECE].iloc[0]))
-        for start, stop in zip(bounds, bounds[1:]):
-            i = start
-            while i < stop:
-                if i == 0 and carried is not None:
-                    anchor, count = carried
-                    carried = None
-                else:
-                    anchor, count = int(us[i]), 0
-                j = i + int(np.searchsorted(us[i:stop], anchor + window_us, side="left"))
-                anchors[i:j] = anchor
-                numbers[i:j] = count + weight[i:j].cumsum()
-                i = j
-        return frame.drop(columns=[PIECE]).assign(
-            **{ANCHOR: anchors, "request_number": numbers}
-        )
-
-    return cut.groupBy(PIECE).applyInPandas(number_rows, schema)
+    Range bounds are sampled, so the cut rows are written out with their row
+    numbers; a re-run after a lost executor must not cut elsewhere.
+    """
+    count = pieces or max(1, -(-rows.count() // PIECE_ROWS))
+    by = [key, US, *order]
+    ranged = rows.repartitionByRange(count, *by).sortWithinPartitions(*by)
+    cut = settle(
+        ranged.withColumns({PIECE: F.spark_partition_id(), ROW: F.monotonically_increasing_id()}),
+        "pieces",
+    )
+    narrow = cut.select(PIECE, ROW, F.col(key).cast("string").alias(KEY), US, WEIGHT)
+
+    def in_order(df: DataFrame) -> DataFrame:
+        return df.repartitionById(count, F.col(PIECE)).sortWithinPartitions(PIECE, ROW)
+
+    handovers = settle(_handovers(in_order(narrow), window_us), "handovers")
+    # A window brought along is a row before the piece's first.
+    brought = _open_windows(handovers, window_us).select(
+        F.col("block").cast("int").alias(PIECE), F.lit(-1).cast("bigint").alias(ROW), KEY,
+        F.col("anchor_us").alias(US), F.col("count").alias(WEIGHT),
+    )
+
+    def number_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, anchor, count = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            pieces, edges = _runs(batch)
+            us, weight = batch.column(US).to_numpy(), batch.column(WEIGHT).to_numpy()
+            keys = batch.column(KEY)
+            anchors = np.empty(len(us), dtype="int64")
+            numbers = np.empty(len(us), dtype="int64")
+            bounds = [0, *edges.tolist(), len(us)]
+            for start, stop in zip(bounds, bounds[1:]):
+                here = (int(pieces[start]), keys[start].as_py())
+                i = start
+                while i < stop:
+                    if here != run or us[i] >= anchor + window_us:
+                        run, anchor, count = here, int(us[i]), 0
+                    j = i + int(np.searchsorted(us[i:stop], anchor + window_us, side="left"))
+                    anchors[i:j] = anchor
+                    numbers[i:j] = count + weight[i:j].cumsum()
+                    count = int(numbers[j - 1])
+                    i = j
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(ROW), pa.array(anchors), pa.array(numbers)],
+                names=[ROW, ANCHOR, "request_number"],
+            )
+
+    numbers = in_order(narrow.unionByName(brought)).mapInArrow(
+        number_rows, f"{ROW} bigint, {ANCHOR} bigint, request_number bigint"
+    )
+    return cut.drop(PIECE).join(numbers.filter(F.col(ROW) >= 0), ROW).drop(ROW)
 
 
 def _verdict(limit: int) -> dict[str, Column]:
