@@ -303,3 +303,25 @@ def test_language_by_centroids(spark, nothing):
     assert got[902].lang_pred == "aa"
     assert langid.predict(nothing, model).count() == 0
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(nothing, nothing["doc_id"] > 0)).collect()} == {"und"}
+
+
+def test_revisits_are_held_against_their_response(spark, tmp_path):
+    body, day = b"payload" * 20, "2024-01-01T00:00:00Z"
+    right = hashlib.sha256(body).hexdigest()
+    records = [
+        warc.record(1, "u", body, right, None, day),
+        warc.record(2, "u", body, right, 1, day),
+        warc.record(3, "u", body, "0" * 64, 1, day),
+        warc.record(4, "u", body, right, 77, day),
+        warc.record(5, "u", body[1:], right, 1, day),
+        warc.record(6, "u", body, right, 2, day),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(records[:3]))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(records[3:]))
+    paths = [(str(tmp_path / name),) for name in ("a.warc.gz", "b.warc.gz")]
+    archives = spark.createDataFrame(paths, "path string")
+    for keep in (False, True):
+        got = warc.read_archives(spark, archives, keep_payload=keep).collect()
+        assert {r.page_id: r.verified for r in got} == {
+            1: True, 2: True, 3: False, 4: False, 5: False, 6: False
+        }

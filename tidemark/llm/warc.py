@@ -10,9 +10,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.skew import salted_join
 from tidemark.plans.storage import settle
 
 #: Smaller payloads are always written out.
@@ -232,7 +233,8 @@ def read_record(chunks: Iterator[bytes], keep_payload: bool = False) -> dict:
     """One record: its fields, its payload's size and digest, and whether it is sound.
 
     ``verified`` means that the record has the length it names and nothing
-    behind it, and that block and payload have the digests it names.
+    behind it, and that block and payload have the digests it names. A revisit
+    has no payload of its own to hold against its digest; see ``_revisits_held``.
     """
     framed = Framed(chunks)
     version, fields, _ = framed.fields()
@@ -285,9 +287,42 @@ def read_archives(
     part at a time, each record framed by its content length. Broken archives
     raise an error; records whose digests do not hold have ``verified`` false.
     A revisit names the page it repeats in ``refers_to``; its size and digest are
-    those of that page's payload. With ``keep_payload`` responses carry their
-    payload. No archives give an empty result.
+    those of that page's payload, and it is verified only if these archives hold a
+    response of that page whose payload, as read, has them. With ``keep_payload``
+    responses carry their payload, and archives are read a second time for it. No
+    archives give an empty result.
     """
+    found = settle(_records(archives, False), "records")
+    whole = _records(archives, True) if keep_payload else found
+    names = whole.columns
+    again = F.col("record_type") == "revisit"
+    revisits = _revisits_held(whole.where(again), found)
+    return whole.where(~again).unionByName(revisits.select(*names))
+
+
+def _target(page: str) -> Column:
+    return F.concat_ws(" ", page, "payload_digest", "payload_bytes")
+
+
+def _revisits_held(revisits: DataFrame, found: DataFrame) -> DataFrame:
+    """Revisits, verified only beside a response of the same page, digest and size.
+
+    One response may be revisited by any share of the records.
+    """
+    named = found.where("record_type = 'revisit'").select(_target("refers_to").alias("_target"))
+    held = (
+        found.where("record_type <> 'revisit' AND page_id IS NOT NULL")
+        .select(_target("page_id").alias("_target"))
+        .distinct()
+        .join(named.distinct(), "_target", "left_semi")
+        .withColumn("_held", F.lit(True))
+    )
+    asked = revisits.withColumn("_target", _target("refers_to"))
+    joined = salted_join(asked, held, "_target", ("page_id", "url"), "left")
+    return joined.withColumn("verified", F.col("verified") & F.col("_held").isNotNull())
+
+
+def _records(archives: DataFrame, keep_payload: bool) -> DataFrame:
     schema = READ + (", payload binary" if keep_payload else "")
     names = [field.split()[0] for field in schema.split(", ")]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
