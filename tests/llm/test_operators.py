@@ -325,3 +325,14 @@ def test_revisits_are_held_against_their_response(spark, tmp_path):
         assert {r.page_id: r.verified for r in got} == {
             1: True, 2: True, 3: False, 4: False, 5: False, 6: False
         }
+
+
+def test_every_language_is_learnt_however_many_there_are(spark):
+    names = [f"l{i:02d}" for i in range(30)]
+    rows = [(i, f"{name} {name}{i} text", name) for i, name in enumerate(names * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for samples, each in ((20, 1), (60, 2)):
+        model = langid.fit(docs, docs["doc_id"] >= 0, samples=samples)
+        assert sorted(set(model["langs"])) == names
+        assert len(model["langs"]) == each * len(names)
+    assert "und" not in {r.lang_pred for r in langid.predict(docs, model).collect()}

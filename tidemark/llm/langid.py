@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tokens import grouped
+from tidemark.plans.skew import salted_join
+from tidemark.plans.storage import settle
 
 #: Slots that n-grams of 1 to 4 bytes are hashed into.
 SLOTS = 1 << 13
 GRAMS = (1, 2, 3, 4)
-#: Documents learnt from: per language, and in all.
+#: Documents learnt from: per language, and in all; at least one per language.
 SAMPLE, SAMPLES = 500, 4000
 CENTROIDS = 4
 SEED = 11
@@ -83,23 +85,25 @@ def fit(
     sample: int = SAMPLE,
     samples: int = SAMPLES,
 ) -> dict:
-    """Centroids per language, from about ``sample`` usable documents of each.
+    """Centroids per language, from ``sample`` usable documents of each.
 
-    Rows are drawn at random with the share that leaves each language about
-    ``sample`` of them, fewer if all languages together would pass ``samples``.
+    ``sample`` rows of each language are drawn at random, or all it has; fewer if all
+    languages together would pass ``samples``, but never less than one of each.
     Only hashed counts (at most ``SLOTS`` numbers a document) reach the driver.
     Rows with a null language or a text without letters teach nothing. Without
     any usable row the model is empty.
     """
     import numpy as np
 
-    known = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {row[0]: row[1] for row in known.groupBy(F.col(lang)).count().collect()}
-    each = min(sample, samples // max(1, len(sizes)))
-    share = F.lit(0.0)
-    for name, count in sizes.items():
-        share = F.when(F.col(lang) == name, min(1.0, each / count)).otherwise(share)
-    drawn = F.rand(SEED) < share
+    known = docs.where(
+        usable & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")
+    ).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = settle(known.groupBy("lang").agg(F.count("*").alias("_size")), "languages")
+    each = max(1, min(sample, samples // max(1, sizes.count())))
+    # A few more than asked for, so that none is short of rows; the lowest draws count.
+    shares = sizes.select("lang", ((3 * each + 50) / F.col("_size")).alias("_share"))
+    drawn = salted_join(known.withColumn("_draw", F.rand(SEED)), shares, "lang", ("text",))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,8 +124,10 @@ def fit(
             )
 
     rows = (
-        known.where(drawn & F.col(text).rlike(r"\p{L}"))
-        .select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+        drawn.where("_draw < _share")
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") <= each)
+        .select("lang", "text")
         .mapInArrow(count, "lang string, slots array<int>, numbers array<int>")
         .toArrow()
         .sort_by("lang")
