@@ -58,5 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Tokenizers are beyond SQL; the tests hold run() against a brute-force version.
+#: Tokenizers are beyond SQL; tests/llm/test_registered.py holds run() against a plain
+#: version over a small folder.
 ORACLE_SQL = None
