@@ -1,4 +1,9 @@
-"""Tokens per document by a two-tier lookup inside the tasks."""
+"""Tokens per document by a two-tier lookup inside the tasks.
+
+No text is shuffled. Only the reports that fill the table of frequent pieces are
+added up by piece: at most ``REPORTED_ENTRIES`` rows per task, so that shuffle
+grows with the number of tasks.
+"""
 
 from __future__ import annotations
 
@@ -21,11 +26,13 @@ REPORTED_ENTRIES = 20_000
 def frequent_pieces(
     docs: DataFrame, text: str = "text", entries: int = TABLE_ENTRIES
 ) -> dict[bytes, int]:
-    """The most frequent pre-tokens of all documents with their counts, at most ``entries``.
+    """Frequent pre-tokens of all documents with lower bounds of their counts, at most ``entries``.
 
     Every task counts its own texts in bounded memory (rare pieces are dropped
     when the counter is full) and reports its most frequent pieces; only these
-    reports are added up. What is missed costs time later, never a token.
+    reports are added up. What a task dropped or did not report is missing from a
+    count, so counts may be too low and a piece may be missed; the table is used
+    for speed alone. What is missed costs time later, never a token.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,8 +70,8 @@ def count_tokens(
 
     Texts are cut where that tokenizer cuts anyway. The lengths of the frequent
     pieces are broadcast (a table of at most ``entries``); other pieces are
-    encoded once per worker and kept in its bounded cache. Nothing is shuffled by
-    piece. Texts with white space beyond ASCII are encoded whole.
+    encoded once per worker and kept in its bounded cache. Only the reports behind the
+    table are shuffled by piece. Texts with white space beyond ASCII are encoded whole.
 
     A null text is an empty one: no bytes, no tokens. Ids may be null or repeated;
     an empty table gives an empty result. Only the two named columns are read.
