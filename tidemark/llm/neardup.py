@@ -285,7 +285,7 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     and ``kept`` marks the document with that id. Equal sets count as one from
     the start. Candidates come from tensored banding: 100 tables whose keys pair
     10 half-keys with 10 others, 40 minhashes in all. A pair at exactly 75 %
-    stands in no common table with a chance of 1 in 1,600, at 80 % of 1 in 14,000. Every
+    stands in no common table with a chance of 1 in 1,900, at 80 % of 1 in 14,000. Every
     link is confirmed on the full sets, by their 64-bit codes.
 
     A null text and one without words have no shingles and are linked with
