@@ -16,7 +16,9 @@ from tidemark.llm import (
     quality,
     tokencount,
     toxicity,
+    vectorcodes,
     warc,
+    whitening,
 )
 from tidemark.plans.storage import scratch_path
 
@@ -113,12 +115,48 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their eight strongest components; a deviation too large for
+    64 bits is null."""
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_vectorcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as codes of four bytes, with their errors."""
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and callable(query)
 }
 
 SPACES = r"[\x20\x09-\x0D]+"
 
+
+def _codebook_rounds() -> str:
+    """Rounds of assigning parts and averaging them, as one common table each."""
+    steps = []
+    for k in range(vectorcodes.ROUNDS + 1):
+        steps.append(f"""
+near{k} AS (
+    SELECT vec_id, part, min(struct_pack(d := d, entry := entry)) AS best
+    FROM (SELECT vec_id, part, entry, sum((p.x - b.y) * (p.x - b.y))::BIGINT AS d
+          FROM points p JOIN book{k} b USING (part, pos) GROUP BY ALL)
+    GROUP BY ALL
+)""")
+        if k < vectorcodes.ROUNDS:
+            steps.append(f"""
+book{k + 1} AS (
+    SELECT part, entry, pos, coalesce((total - ((total % n) + n) % n) // n, y) AS y
+    FROM book{k} LEFT JOIN (
+        SELECT part, best.entry AS entry, pos, sum(x)::BIGINT AS total, count(*) AS n
+        FROM near{k} JOIN points USING (vec_id, part) GROUP BY ALL
+    ) USING (part, entry, pos)
+)""")
+    return ",".join(steps)
+
+
 #: SQL over whole tables. The others need compressors, tokenizers, trained models or
 #: alignments, or take SQL too long. tests/llm/test_registered.py holds op3, op4, op5 and
 #: op8 against plain versions and op1 against its offsets and masks, all over a small
@@ -201,5 +239,30 @@ WITH RECURSIVE split AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM groups LEFT JOIN sizes USING (doc_id)
+""",
+    "op13_vectorcodes": f"""
+WITH usable AS (
+    SELECT vec_id, label, len(embedding) AS width, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda c: isfinite(c))) = len(embedding)
+), points AS (
+    SELECT vec_id, {vectorcodes.PARTS} * (pos - 1) // width AS part, pos,
+           floor(1024 * v[pos])::BIGINT AS x
+    FROM (SELECT *, unnest(range(1, width + 1)) AS pos FROM usable)
+), firsts AS (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM usable
+    ORDER BY vec_id LIMIT {vectorcodes.ENTRIES}
+), book0 AS (
+    SELECT part, entry, pos, x AS y FROM points JOIN firsts USING (vec_id)
+),{_codebook_rounds()}, coded AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code,
+           sum(best.d)::BIGINT AS error
+    FROM near{vectorcodes.ROUNDS} GROUP BY vec_id
+), books AS (
+    SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+    FROM book{vectorcodes.ROUNDS}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       codebooks_sha256
+FROM coded JOIN usable USING (vec_id), books
 """,
 }
