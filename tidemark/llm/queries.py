@@ -16,6 +16,7 @@ from tidemark.llm import (
     quality,
     tokencount,
     toxicity,
+    urlfilter,
     vectorcodes,
     warc,
     whitening,
@@ -115,6 +116,11 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by rules and by the templates of their urls."""
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings on their eight strongest components; a deviation too large for
     64 bits is null."""
@@ -134,6 +140,83 @@ QUERIES = {
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def _url_rules() -> str:
+    """The longest fitting rule as a CASE."""
+    cases = []
+    for _, rule in sorted(urlfilter.RULES, key=lambda one: (-len(one[1]), one[1])):
+        domain, slash, rest = rule.partition("/")
+        cases.append(
+            f"WHEN (host = '{domain}' OR suffix(host, '.{domain}')) "
+            f"AND prefix(path, '{slash + rest}') THEN '{rule}'"
+        )
+    return "CASE " + "\n ".join(cases) + " END"
+
+
+def _url_levels() -> str:
+    """Templates grown level by level, as in urlfilter.templates."""
+    steps = []
+    for i in range(urlfilter.DEPTH + 1):
+        steps.append(f"""
+active{i} AS (
+    SELECT host, template, CASE WHEN segs[{i + 1}] = shapes[{i + 1}] THEN segs[{i + 1}] END AS name,
+           array_to_string(shapes[{i + 2}:], '/') AS tail, coalesce(label, 'none') AS label
+    FROM rows{i} WHERE len(segs) > {i}
+), totals{i} AS (
+    SELECT host, template, count(*) AS total FROM active{i} GROUP BY ALL
+), kept{i} AS (
+    SELECT host, template, name, visits
+    FROM (SELECT host, template, name, count(*) AS visits FROM active{i}
+          WHERE name IS NOT NULL GROUP BY ALL) JOIN totals{i} USING (host, template)
+    WHERE visits * {urlfilter.NAMED_ONE_IN} >= total
+), facts{i} AS (
+    SELECT host, template, name, kind, value, count(*) AS n
+    FROM (SELECT host, template, name, 'tail' AS kind, tail AS value FROM active{i}
+          UNION ALL SELECT host, template, name, 'label', label FROM active{i})
+    JOIN kept{i} USING (host, template, name) GROUP BY ALL
+), usual{i} AS (
+    SELECT host, template, name,
+           max(struct_pack(n := n, v := value)) FILTER (kind = 'tail') AS t,
+           max(struct_pack(n := n, v := value)) FILTER (kind = 'label') AS l
+    FROM facts{i} GROUP BY ALL
+), groups{i} AS (
+    SELECT *, sum(visits) OVER (PARTITION BY host, template, ut, ul) AS together
+    FROM (SELECT host, template, name, visits, t.v AS ut, l.v AS ul
+          FROM kept{i} JOIN usual{i} USING (host, template, name))
+), values{i} AS (
+    SELECT host, template, ut, ul, kind, value, sum(n) AS n
+    FROM facts{i} JOIN groups{i} USING (host, template, name) GROUP BY ALL
+), apart{i} AS (
+    SELECT g.host, g.template, g.name, v.kind, g.visits, g.together,
+           sum(power(coalesce(f.n, 0) / g.visits
+                     - (v.n - coalesce(f.n, 0)) / (g.together - g.visits), 2)) AS d
+    FROM groups{i} g JOIN values{i} v
+         ON v.host = g.host AND v.template = g.template AND v.ut = g.ut AND v.ul = g.ul
+    LEFT JOIN facts{i} f ON f.host = g.host AND f.template = g.template AND f.name = g.name
+         AND f.kind = v.kind AND f.value = v.value
+    WHERE g.together > g.visits GROUP BY ALL
+), alike{i} AS (
+    SELECT host, template, name FROM apart{i} GROUP BY ALL
+    HAVING bool_and(d <= power({urlfilter.REACH!r} * (1 / sqrt(visits) + 1 / sqrt(together - visits)), 2))
+), merged{i} AS (
+    SELECT host, template, name, '(' || string_agg(name, '|') OVER (
+               PARTITION BY host, template, ut, ul ORDER BY name
+               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) || ')' AS named,
+           count(*) OVER (PARTITION BY host, template, ut, ul) AS members
+    FROM groups{i} JOIN alike{i} USING (host, template, name)
+), named{i} AS (
+    SELECT host, template, name, CASE WHEN members > 1 THEN named ELSE name END AS named
+    FROM kept{i} LEFT JOIN merged{i} USING (host, template, name)
+), rows{i + 1} AS (
+    SELECT r.page_id, r.host, r.path, r.rule, r.label, r.segs, r.shapes,
+           CASE WHEN len(r.segs) <= {i} THEN r.template ELSE r.template || '/' || coalesce(
+               n.named, CASE WHEN r.segs[{i + 1}] = r.shapes[{i + 1}] THEN '*' ELSE r.shapes[{i + 1}] END)
+           END AS template
+    FROM rows{i} r LEFT JOIN named{i} n ON n.host = r.host AND n.template = r.template
+         AND n.name = r.segs[{i + 1}]
+)""")
+    return ",".join(steps)
+
+
 def _codebook_rounds() -> str:
     """Rounds of assigning parts and averaging them, as one common table each."""
     steps = []
@@ -239,6 +322,37 @@ WITH RECURSIVE split AS (
 )
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM groups LEFT JOIN sizes USING (doc_id)
+""",
+    "op11_urlfilter": rf"""
+WITH split AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{urlfilter.HOST_AND_PATH}', 1),
+               '{urlfilter.UPPER}', '{urlfilter.UPPER.lower()}') AS host,
+           regexp_extract(coalesce(url, ''), '{urlfilter.HOST_AND_PATH}', 2) AS path
+    FROM pages
+), ruled AS (
+    SELECT *, {_url_rules()} AS rule, list_filter(string_split(path, '/'), lambda p: p <> '') AS parts
+    FROM split
+), cut AS (
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ({", ".join(f"'{r}'" for v, r in urlfilter.RULES if v == "block")}) THEN 'block'
+                WHEN rule IS NOT NULL THEN 'allow' END AS label,
+           CASE WHEN len(parts) <= {urlfilter.DEPTH} THEN parts
+                ELSE list_append(parts[1:{urlfilter.DEPTH}], '**') END AS segs
+    FROM ruled
+), rows0 AS (
+    SELECT *, list_transform(segs, lambda s: CASE WHEN regexp_matches(s, '{urlfilter.DIGIT}')
+               THEN '*' || regexp_extract(s, '{urlfilter.EXTENSION}') ELSE s END) AS shapes,
+           '' AS template
+    FROM cut
+),{_url_levels()}, purities AS (
+    SELECT host, template, (count(*) FILTER (label = 'block') + {urlfilter.SMOOTHING})
+               / (count(label) + 2 * {urlfilter.SMOOTHING}) AS purity
+    FROM rows{urlfilter.DEPTH + 1} GROUP BY ALL
+)
+SELECT page_id, host, path, rule,
+       coalesce(label, CASE WHEN purity >= {urlfilter.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+       template, purity
+FROM rows{urlfilter.DEPTH + 1} JOIN purities USING (host, template)
 """,
     "op13_vectorcodes": f"""
 WITH usable AS (
