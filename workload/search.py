@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import enrich, vectors
+from tidemark.operators import enrich, vectorindex, vectors, vectorstore
+from tidemark.plans.storage import scratch_path
 from workload import sql
 from workload.adapters import label_centroids, table, vector_records
 
@@ -50,19 +51,25 @@ def search_batch(spark, sf_dir):
     return vectors.search_batch(_records(spark, sf_dir), queries, 20)
 
 
-def upsert_vectors(spark, sf_dir):
-    """Labels above 4 written again twice; the later write must win."""
-    stored = _records(spark, sf_dir)
-    rewritten = stored.filter(F.col("metadata.sentiment_score") > 5)
+def search_index(spark, sf_dir):
+    """The same search through an index that leaves clusters unread."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "vector-index")
+    vectorindex.build_index(vector_records(embeddings), path)
+    index = vectorindex.open_index(spark, path)
+    return vectorindex.search_index(index, label_centroids(embeddings), 20)
 
-    def at(moment: str, symbol: str):
-        changed = F.col("metadata").withField("timestamp", F.lit(moment))
-        return rewritten.withColumn("metadata", changed.withField("symbol", F.lit(symbol)))
 
-    updates = at("2024-03-01T00:00:00", "LAST").unionByName(
-        at("2024-02-01T00:00:00", "FIRST")
+def _rewritten(stored, moment: str, symbol: str):
+    """Labels above 4 once more, with another time and symbol."""
+    changed = F.col("metadata").withField("timestamp", F.lit(moment))
+    return stored.filter(F.col("metadata.sentiment_score") > 5).withColumn(
+        "metadata", changed.withField("symbol", F.lit(symbol))
     )
-    return vectors.upsert_vectors(stored, updates).select(
+
+
+def _upserted(records):
+    return records.select(
         "namespace",
         "id",
         F.col("metadata.symbol").alias("symbol"),
@@ -72,6 +79,24 @@ def upsert_vectors(spark, sf_dir):
     )
 
 
+def upsert_vectors(spark, sf_dir):
+    """Labels above 4 written again twice; the later write must win."""
+    stored = _records(spark, sf_dir)
+    updates = _rewritten(stored, "2024-03-01T00:00:00", "LAST").unionByName(
+        _rewritten(stored, "2024-02-01T00:00:00", "FIRST")
+    )
+    return _upserted(vectors.upsert_vectors(stored, updates))
+
+
+def vector_store(spark, sf_dir):
+    """The same writes, one after the other, into a store of buckets."""
+    stored, path = _records(spark, sf_dir), scratch_path(spark, "vector-store")
+    vectorstore.write_updates(stored, path)
+    vectorstore.write_updates(_rewritten(stored, "2024-02-01T00:00:00", "FIRST"), path)
+    vectorstore.write_updates(_rewritten(stored, "2024-03-01T00:00:00", "LAST"), path)
+    return _upserted(vectorstore.read_store(spark, path))
+
+
 def vector_metadata(spark, sf_dir):
     return _records(spark, sf_dir).select("id", "metadata.*")
 
@@ -110,7 +135,9 @@ QUERIES = {
         semantic_search_min_score,
         find_similar,
         search_batch,
+        search_index,
         upsert_vectors,
+        vector_store,
         vector_metadata,
         embed_documents,
         text_search,
@@ -188,3 +215,6 @@ SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '\\s+'), lam
        CAST(1 AS DOUBLE) AS squared_length
 FROM documents""",
 }
+
+ORACLE["search_index"] = ORACLE["search_batch"]
+ORACLE["vector_store"] = ORACLE["upsert_vectors"]
