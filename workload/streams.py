@@ -12,7 +12,7 @@ from tidemark.functions import sentiment
 from tidemark.functions.times import iso_text
 from tidemark.operators import gold, routing, staging
 from tidemark.plans.storage import scratch_path
-from tidemark.streaming import rollups, sinks
+from tidemark.streaming import redelivery, rollups, sinks, trends
 from tidemark.streaming.ingest import run_ingest
 from tidemark.streaming.limiter import run_rate_limit
 from workload import adapters, live, market, messages, sql
@@ -21,6 +21,9 @@ from workload.adapters import table
 # Spread of the test events, so that no replayed row counts as late.
 DELAY = "60 days"
 STEPS = 2
+# Steps are replayed in order of time, so hours can be closed soon after their end.
+SHORT_DELAY = "1 hour"
+HEARTBEAT = "heartbeat"
 
 
 def replay(
@@ -97,6 +100,71 @@ def trend_changes_stream(spark, sf_dir):
     return gold.trend_changes(_hourly(spark, sf_dir))
 
 
+def _with_heartbeat(staged: DataFrame, stream: DataFrame) -> DataFrame:
+    """Staged messages, and the heartbeats of the stream as rows without a score."""
+    beats = stream.filter(F.col("event_type") == HEARTBEAT).select(F.col("ts").alias("ingested_at"))
+    return staged.unionByName(beats, allowMissingColumns=True)
+
+
+def live_trend_changes(spark, sf_dir):
+    """Changes of trend told while the stream runs; a heartbeat closes the last hours."""
+    events = table(spark, sf_dir, "events")
+    as_of = adapters.as_of(spark, sf_dir)
+    out, state = scratch_path(spark, "trends"), scratch_path(spark, "state")
+    beat = events.agg((F.max("ts") + F.expr("INTERVAL 3 HOURS")).alias("ts")).withColumn(
+        "event_type", F.lit(HEARTBEAT)
+    )
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        messages = stream.filter(F.col("event_type") != HEARTBEAT)
+        staged = staging.stage_market_data(adapters.bronze(messages), as_of, None)
+        beating = _with_heartbeat(staged, stream)
+        return trends.run_trend_changes(beating, out, state, SHORT_DELAY, available_now=True)
+
+    replay(events.unionByName(beat, allowMissingColumns=True), run)
+    found = spark.read.parquet(f"{out}/changes").drop(sinks.RUN, sinks.BATCH)
+    return found.withColumn("hour_timestamp", F.col("hour_timestamp").cast("timestamp_ntz"))
+
+
+def _failing_handler():
+    """A handler that fails on the first k % 4 attempts, every other time by raising."""
+
+    def accepts(ident: str, message: str, attempt: int) -> bool:
+        k = int(message)
+        if attempt <= k % 4 and k % 8 < 4:
+            raise RuntimeError(f"attempt {attempt} broke")
+        return attempt > k % 4
+
+    return accepts
+
+
+def redelivery_stream(spark, sf_dir):
+    """Every event as a message that fails up to three times; a heartbeat brings the
+    last ones back."""
+    events = table(spark, sf_dir, "events")
+    out, state = scratch_path(spark, "redelivery"), scratch_path(spark, "state")
+    beat = events.agg((F.max("ts") + F.expr("INTERVAL 3 HOURS")).alias("ts")).withColumn(
+        "event_id", F.lit(-1).cast("long")
+    ).withColumn("props", F.lit('{"k": 0}'))
+
+    def run(stream: DataFrame) -> StreamingQuery:
+        messages = stream.select(
+            F.col("event_id").cast("string").alias("id"),
+            adapters.k_of().cast("string").alias("message"),
+            F.col("ts").alias("at"),
+        )
+        return redelivery.run_redelivery(
+            messages, out, state, _failing_handler, "raw", SHORT_DELAY, available_now=True
+        )
+
+    replay(events.unionByName(beat, allowMissingColumns=True), run)
+    tried = spark.read.parquet(f"{out}/attempts").drop(sinks.RUN, sinks.BATCH)
+    tried = tried.filter(F.col("id") != "-1")
+    return tried.withColumns(
+        {name: F.col(name).cast("timestamp_ntz") for name in ("at", "next_try")}
+    )
+
+
 def newest_message_stream(spark, sf_dir):
     out, state = scratch_path(spark, "newest"), scratch_path(spark, "state")
 
@@ -199,6 +267,8 @@ QUERIES = {
         hourly_stream,
         latest_stream,
         trend_changes_stream,
+        live_trend_changes,
+        redelivery_stream,
         newest_message_stream,
         dedupe_stream,
         sentiment_updates_stream,
@@ -215,6 +285,19 @@ ORACLE = {
     "hourly_stream": market.ORACLE["gold_hourly_sentiment"],
     "latest_stream": market.ORACLE["gold_latest_prev_hour"],
     "trend_changes_stream": market.ORACLE["trend_changes"],
+    "live_trend_changes": market.ORACLE["trend_changes"],
+    "redelivery_stream": """
+WITH messages AS (
+    SELECT CAST(event_id AS VARCHAR) AS id, ts, CAST(props->>'$.k' AS INTEGER) AS k FROM events
+), tries AS (
+    SELECT *, unnest([1, 2, 3]) AS attempt FROM messages
+)
+SELECT id, attempt, ts + to_seconds([0, 10, 30][attempt]) AS at,
+       CASE WHEN attempt > k % 4 THEN 'done' WHEN attempt = 3 THEN 'dead' ELSE 'retry' END AS outcome,
+       CASE WHEN attempt <= k % 4 AND attempt < 3 THEN ts + to_seconds([10, 30][attempt]) END AS next_try,
+       CASE WHEN attempt > k % 4 THEN NULL WHEN k % 8 < 4 THEN 'attempt ' || attempt || ' broke'
+            ELSE 'Handler returned failure' END AS error
+FROM tries WHERE attempt <= k % 4 + 1""",
     "newest_message_stream": f"""WITH {sql.STAGED}
 SELECT upper(symbol) AS symbol, id, sentiment_score, price_usd, ingested_at FROM staged
 QUALIFY row_number() OVER (PARTITION BY upper(symbol) ORDER BY ingested_at DESC, id DESC) = 1""",
