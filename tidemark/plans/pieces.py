@@ -64,3 +64,35 @@ def running_sum(
         .withColumn("running", F.col("_inside") + F.col("_offset"))
         .drop("_inside", "_offset", PIECE, *names.values())
     )
+
+
+def with_previous(
+    df: DataFrame,
+    value: str,
+    order: Sequence[str],
+    by: Sequence[str] = (),
+    pieces: int | None = None,
+) -> DataFrame:
+    """Add ``previous``: the ``value`` of the row before in ``order``, null for the first.
+
+    A piece looks back within itself; its first row of a key takes the last value of
+    the pieces before, which is one row per piece and key. Null keys are a group like
+    any other; a null value is handed on as null.
+    """
+    cut = range_pieces(df, [*by, *order], pieces)
+    groups = [*by, PIECE]
+    place = F.struct(*order)
+    lasts = cut.groupBy(*groups).agg(F.max_by(F.struct(value), place).alias("_last"))
+    before = Window.partitionBy(*by).orderBy(PIECE)
+    names = {column: f"_of_{i}" for i, column in enumerate(groups)}
+    handed = lasts.select(
+        *[F.col(c).alias(n) for c, n in names.items()], F.lag("_last").over(before).alias("_before")
+    )
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()])
+    within = Window.partitionBy(*groups).orderBy(*order)
+    return (
+        cut.withColumn("_lag", F.lag(F.struct(value)).over(within))
+        .join(handed, same)
+        .withColumn("previous", F.coalesce("_lag", "_before").getField(value))
+        .drop("_lag", "_before", PIECE, *names.values())
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import sentiment
 from tidemark.functions.times import iso_text
-from tidemark.operators import gold, metrics, ratelimit, routing, staging
+from tidemark.operators import audience, gold, metrics, ratelimit, routing, staging
 from workload import adapters, sql
 from workload.adapters import table
 from workload.market import _TRENDS
@@ -138,6 +138,25 @@ def route_events_subscribed(spark, sf_dir):
     )
 
 
+def _timed(spark, sf_dir):
+    """All messages as events of their symbol, at their time."""
+    rows = _messages(spark, sf_dir)
+    return rows.select("id", F.col("event_type").alias("symbol"), F.col("ingested_at").alias("ts"))
+
+
+def route_as_of(spark, sf_dir):
+    """Every message to those who listened at its time."""
+    return audience.route_as_of(_timed(spark, sf_dir), _actions(spark, sf_dir))
+
+
+def route_as_of_once(spark, sf_dir):
+    return audience.route_as_of(_timed(spark, sf_dir), _actions(spark, sf_dir), dedupe=True)
+
+
+def subscription_spans(spark, sf_dir):
+    return audience.subscription_spans(_actions(spark, sf_dir))
+
+
 def delivery_counts(spark, sf_dir):
     return routing.delivery_counts(_addressed(spark, sf_dir), *_audience(spark, sf_dir))
 
@@ -220,6 +239,9 @@ QUERIES = {
         route_events,
         route_events_once,
         route_events_subscribed,
+        route_as_of,
+        route_as_of_once,
+        subscription_spans,
         delivery_counts,
         client_feed,
         rate_limit,
@@ -272,6 +294,49 @@ SELECT id, upper(event_type) AS symbol, upper(event_type) AS channel, n AS recip
 FROM messages JOIN listeners ON listeners.symbol = upper(event_type)"""
 
 
+_SPANS = _AUDIENCE + """,
+states AS (
+  SELECT DISTINCT client, symbol, ts, seq, action = 'unsubscribe' AS off FROM wishes
+  WHERE action <> 'disconnect'
+  UNION ALL
+  SELECT a.client, p.symbol, a.ts, a.seq, true FROM actions a
+  JOIN (SELECT DISTINCT client, symbol FROM wishes WHERE action <> 'disconnect') p
+    ON p.client = a.client WHERE a.action = 'disconnect'
+),
+flips AS (
+  SELECT * FROM states
+  QUALIFY off <> coalesce(lag(off) OVER (PARTITION BY client, symbol ORDER BY ts, seq, off), true)
+),
+spans AS (
+  SELECT * FROM (SELECT *, lead(ts) OVER (PARTITION BY client, symbol ORDER BY ts, seq, off) AS until FROM flips)
+  WHERE NOT off AND (until IS NULL OR until > ts)
+),
+levels AS (
+  SELECT symbol, ts, sum(sum(CASE WHEN off THEN -1 ELSE 1 END)) OVER (PARTITION BY symbol ORDER BY ts) AS n
+  FROM flips GROUP BY symbol, ts
+),
+presence AS (
+  SELECT client, ts, action = 'disconnect' AS off FROM actions
+  QUALIFY off <> coalesce(lag(off) OVER (PARTITION BY client ORDER BY ts, seq, off), true)
+),
+crowd AS (
+  SELECT ts, sum(sum(CASE WHEN off THEN -1 ELSE 1 END)) OVER (ORDER BY ts) AS n FROM presence GROUP BY ts
+),
+reached AS (
+  SELECT m.id, upper(m.event_type) AS symbol, coalesce(l.n, 0) AS own, coalesce(c.n, 0) AS everybody
+  FROM messages m
+  ASOF LEFT JOIN levels l ON l.symbol = upper(m.event_type) AND l.ts <= m.ingested_at
+  ASOF LEFT JOIN crowd c ON c.ts <= m.ingested_at
+)"""
+
+
+def _as_of_channels(rest: str) -> str:
+    return f"""WITH {_SPANS}
+SELECT id, symbol, symbol AS channel, CAST(own AS BIGINT) AS recipients FROM reached WHERE own > 0
+UNION ALL
+SELECT id, symbol, 'all', CAST({rest} AS BIGINT) FROM reached WHERE {rest} > 0"""
+
+
 def _limited(key: str, limit: int, seconds: int) -> str:
     return f"""WITH RECURSIVE requests AS (SELECT event_id, {key}, ts FROM events),
 anchors AS (
@@ -347,6 +412,10 @@ FROM (SELECT id, event_type, (SELECT count(*) FROM clients) - coalesce(n, 0) AS
       FROM messages LEFT JOIN listeners ON listeners.symbol = upper(event_type))
 WHERE rest > 0""",
     "route_events_subscribed": f"WITH {_AUDIENCE} {_TO_SYMBOL}",
+    "route_as_of": _as_of_channels("everybody"),
+    "route_as_of_once": _as_of_channels("(everybody - own)"),
+    "subscription_spans": f"""WITH {_SPANS}
+SELECT client, symbol, ts AS from_ts, until AS to_ts FROM spans""",
     "delivery_counts": f"""WITH {_AUDIENCE}
 SELECT client,
        (SELECT count(*) FROM messages JOIN subs ON subs.symbol = upper(event_type)
