@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import sentiment
 from tidemark.functions.times import iso_text
-from tidemark.operators import audience, gold, metrics, ratelimit, routing, staging
+from tidemark.operators import audience, gold, metrics, quantiles, ratelimit, routing, staging
+from tidemark.plans.storage import settle
 from workload import adapters, sql
 from workload.adapters import table
 from workload.market import _TRENDS
 
 ALERT_THRESHOLD = 4.0
+SHARES = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
 BOUNDS = [1.0, 10.0, 25.0, 50.0, 100.0, 250.0]
 
 
@@ -192,6 +194,23 @@ def histogram_rollup(spark, sf_dir):
     return rolled.withColumn("buckets", F.array_join(counts, ","))
 
 
+def daily_quantiles(spark, sf_dir):
+    """Quantiles by day from stored hourly sketches, held against exact ranks: twice the
+    stated rank error is kept to but for one case in thousands."""
+    events = adapters.metric_events(_events(spark, sf_dir))
+    stored = settle(quantiles.hourly_sketches(events), "sketches")
+    found = settle(quantiles.quantiles(quantiles.merged(stored), SHARES), "quantiles")
+    checked = quantiles.observed_error(events, found)
+    return checked.select(
+        "day",
+        "name",
+        "attributes",
+        "share",
+        "n",
+        (F.col("error") <= 2 * quantiles.rank_error(quantiles.K)).alias("within"),
+    )
+
+
 def ignored_metrics(spark, sf_dir):
     return metrics.ignored_metrics(adapters.metric_events(_events(spark, sf_dir)))
 
@@ -248,6 +267,7 @@ QUERIES = {
         rate_limit_users,
         counter_rollup,
         histogram_rollup,
+        daily_quantiles,
         ignored_metrics,
         running_level,
         error_rollup,
@@ -366,7 +386,7 @@ metrics AS (
                          WHEN 'purchase' THEN 'bigquery_rows' WHEN 'error' THEN 'processing_latency'
                          ELSE 'unheard_of' END AS name,
          CASE WHEN k % 3 = 0 THEN '{}' ELSE '{"app":"web","zone":"' || (k % 2) || '"}' END AS attributes,
-         value
+         value, ingested_at
   FROM messages
 )"""
 
@@ -434,6 +454,12 @@ FROM metrics WHERE name IN ('request_count', 'bigquery_rows') GROUP BY name, att
 SELECT name, attributes, count(*) AS count, CAST(sum(CAST(value AS DECIMAL(38,9))) AS DOUBLE) AS sum,
        min(value) AS min, max(value) AS max, {_BUCKETS} AS buckets
 FROM metrics WHERE name IN ('request_latency', 'processing_latency') GROUP BY name, attributes""",
+    "daily_quantiles": f"""WITH {_METRICS},
+days AS (
+  SELECT date_trunc('day', ingested_at) AS day, name, attributes, count(*) AS n
+  FROM metrics WHERE name IN ('request_latency', 'processing_latency') GROUP BY ALL
+)
+SELECT day, name, attributes, unnest({SHARES}::DOUBLE[]) AS share, n, true AS within FROM days""",
     "ignored_metrics": f"""WITH {_METRICS}
 SELECT name, count(*) AS ignored FROM metrics WHERE name = 'unheard_of' GROUP BY name""",
     "running_level": f"""WITH changes AS (
