@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+SETTINGS = {
+    PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Batches write what has changed, not the files of every partition's store.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def start_stateful(stream: DataFrame, begin: Callable[[], StreamingQuery]) -> StreamingQuery:
@@ -18,12 +22,14 @@ def start_stateful(stream: DataFrame, begin: Callable[[], StreamingQuery]) -> St
     checkpoint, so the session is left as it was for other queries.
     """
     conf = stream.sparkSession.conf
-    before = conf.get(PROVIDER, None)
-    conf.set(PROVIDER, ROCKSDB)
+    before = {name: conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        conf.set(name, value)
     try:
         return begin()
     finally:
-        if before is None:
-            conf.unset(PROVIDER)
-        else:
-            conf.set(PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)
