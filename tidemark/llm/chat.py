@@ -20,6 +20,11 @@ def escaped(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|im_"), F.lit("<| im_"))
 
 
+def named(speaker: Column) -> Column:
+    """A speaker's name that stays within the first line of a message."""
+    return F.regexp_replace(escaped(speaker), r"[\n\x0B\f\r\u0085\u2028\u2029]+", " ")
+
+
 def rotate(
     turns: DataFrame,
     conv: str = "conv_id",
@@ -46,8 +51,10 @@ def rotate(
     without a turn come first; ties are ordered by speaker and text, and repeated
     rows are repeated messages. A null or blank speaker is the user ``unknown``,
     from whose view nothing is rendered, so a dialogue in which nobody else but
-    narrators speaks gives no rows. Null texts are empty messages. An empty table
-    gives an empty result; further columns are not read.
+    narrators speaks gives no rows. Null texts are empty messages. Marks in texts
+    and names, and line breaks in names, are rendered so that they open or close nothing;
+    ``speaker`` and ``perspective`` keep the name as it is. An empty table gives an
+    empty result; further columns are not read.
     """
     name = F.trim(F.coalesce(F.col(speaker).cast("string"), F.lit("")))
     said = turns.where(F.col(conv).isNotNull()).select(
@@ -71,7 +78,7 @@ def rotate(
     head = F.concat(
         F.lit(OPEN),
         F.col("part"),
-        F.when(F.col("part") == "user", F.concat(F.lit(" name="), "speaker")).otherwise(""),
+        F.when(F.col("part") == "user", F.concat(F.lit(" name="), named(F.col("speaker")))).otherwise(""),
         F.lit("\n"),
     )
     cast = (
