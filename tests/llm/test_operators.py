@@ -173,6 +173,52 @@ def test_passages_within_the_edit_budget(spark, nothing):
     assert decontaminate.find_passages(docs, benchmark.limit(0)).count() == 0
 
 
+def test_short_passages(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HITS", 3)
+    rng = np.random.default_rng(8)
+    letters = list("abcdefghij")
+    items = {m: "".join(rng.choice(letters, m)) for m in (1, 3, 7, 8, 10, 20, 30, 45)}
+    rows = []
+    for m, item in items.items():
+        for edits in range(0, 6):
+            text = list(item)
+            for at in rng.choice(m, min(m, edits), replace=False):
+                text[at] = rng.choice(["", "z", "qq"])
+            rows.append((len(rows), "zz " + "".join(text) + ", zz " + item + "z"))
+            rows.append((len(rows), "z" * 9 + " ".join(text) + "z" * 9))
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    pairs = [*items.items(), (100, items[20]), (101, "?!"), (102, "")]
+    benchmark = spark.createDataFrame(pairs, "item_id long, text string")
+    for found in (
+        decontaminate.find_passages(docs, benchmark),
+        decontaminate.find_passages(docs, benchmark, block_chars=25),
+    ):
+        got = Counter((r.doc_id, r.item_id, r.edits) for r in found.collect())
+        want = Counter()
+        for doc, text in rows:
+            for item_id, item in pairs:
+                plain = re.sub("[^a-z]", "", text)
+                letters_of = re.sub("[^a-z]", "", item)
+                if not letters_of:
+                    continue
+                if len(item) < 8:
+                    spread = "[^a-z]*".join(item)
+                    if re.search(rf"(?<![a-z]){spread}(?![a-z])", text):
+                        want[doc, item_id, 0] += 2
+                elif distance(item, plain) <= int(0.1 * len(item)):
+                    want[doc, item_id, distance(item, plain)] += 2
+        assert got == want
+
+
+def test_other_benchmark_of_the_same_shape(spark):
+    """A worker that has searched one list of items searches the next one, too."""
+    docs = spark.createDataFrame([(1, "the first passage of all"), (2, "the other passage of all")], "doc_id long, text string")
+    for text, doc in (("first passage of", 1), ("other passage of", 2)) * 2:
+        benchmark = spark.createDataFrame([(5, text)], "item_id long, text string")
+        found = decontaminate.find_passages(docs, benchmark, rate=0)
+        assert [r.doc_id for r in found.collect()] == [doc]
+
+
 def test_similar_lines(documents, nothing):
     lines = {}
     for doc, text in texts_of(documents.where("doc_id IS NOT NULL")):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,6 +20,8 @@ EDIT_RATE = 0.1
 #: Benchmark text that is searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
 TABLE_BITS = 22
+#: Pairs of a document's q-gram and an item that are held at a time.
+HITS = 2_000_000
 
 MIX = 0x9E3779B97F4A7C15
 
@@ -76,13 +79,15 @@ def qgrams(codes, q: int = Q):
     return done ^ (done >> np.uint64(29))
 
 
-def budget(length: int, q: int = Q, rate: float = EDIT_RATE) -> tuple[int, int]:
-    """Edits allowed for an item, and the q-grams that so few edits must leave.
+def budget(length: int, q: int = Q, rate: float = EDIT_RATE) -> tuple[int, int, int]:
+    """Edits allowed for an item, the q-gram length it is found by, and the q-grams left.
 
-    Short items get fewer edits, so that at least one q-gram must be left.
+    Short items are found by shorter q-grams, so that at least one is left
+    whatever the edits; at fewer than ``q`` characters the q-gram is the item.
     """
-    edits = max(0, min(int(rate * length), (length - q) // q))
-    return edits, length - q + 1 - q * edits
+    edits = 0 if length < q else min(int(rate * length), length - 1)
+    gram = min(q, length // (1 + edits))
+    return edits, gram, length - gram + 1 - gram * edits
 
 
 def banded_distance(item, region, low: int, high: int, most: int):
@@ -126,39 +131,28 @@ def banded_distance(item, region, low: int, high: int, most: int):
 
 
 class Index:
-    """The q-grams of a block of items, for lookup in a worker."""
+    """The q-grams of items that are found by one length of q-gram, for lookup in a worker."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
+    def __init__(self, items: list[tuple], q: int):
+        """``items``: (item id, folded characters, edits allowed, q-grams that must be left)."""
         import numpy as np
 
         self.q = q
-        self.ids, self.codes, self.edits, self.least = [], [], [], []
-        grams, owners, places = [], [], []
-        for item_id, text in items:
-            codes, _ = folded(text)
-            if len(codes) < q:
-                continue
-            edits, least = budget(len(codes), q, rate)
-            found = qgrams(codes, q)
-            owners.append(np.full(len(found), len(self.ids)))
-            places.append(np.arange(len(found)))
-            grams.append(found)
-            self.ids.append(item_id)
-            self.codes.append(codes.astype("int64"))
-            self.edits.append(edits)
-            self.least.append(least)
-        none = np.empty(0, "int64")
-        grams = np.concatenate(grams) if grams else np.empty(0, "uint64")
+        self.ids, codes, edits, least = (list(part) for part in zip(*items))
+        self.codes = [c.astype("int64") for c in codes]
+        found = [qgrams(c, q) for c in codes]
+        grams = np.concatenate(found)
         order = np.argsort(grams, kind="stable")
-        self.owner = (np.concatenate(owners) if owners else none)[order]
-        self.place = (np.concatenate(places) if places else none)[order]
+        self.owner = np.repeat(np.arange(len(found)), [len(g) for g in found])[order]
+        self.place = np.concatenate([np.arange(len(g)) for g in found])[order]
         self.grams, self.first = np.unique(grams[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(order)))
         self.table = np.zeros(1 << TABLE_BITS, "bool")
         self.table[self.slots(self.grams)] = True
-        self.width = np.array(self.edits, "int64") + 1
-        self.edits_of = np.array(self.edits, "int64")
-        self.least_of = np.array(self.least, "int64")
+        self.edits = np.array(edits, "int64")
+        self.least = np.array(least, "int64")
+        self.width = self.edits + 1
+        self.longest = max(len(c) for c in codes)
 
     @staticmethod
     def slots(grams):
@@ -166,45 +160,61 @@ class Index:
 
         return (grams >> np.uint64(64 - TABLE_BITS)).astype("int64")
 
-    def bands(self, codes):
-        """Items and bands of diagonals that keep enough q-grams: (item, band)."""
+    def hits(self, codes):
+        """Q-grams of ``codes`` that items hold: (position, entry of ``grams``)."""
         import numpy as np
 
         grams = qgrams(codes, self.q)
         at = np.flatnonzero(self.table[self.slots(grams)])
-        if not len(at) or not len(self.grams):
-            return []
         found = np.searchsorted(self.grams, grams[at])
         found[found == len(self.grams)] = 0
         same = self.grams[found] == grams[at]
-        at, found = at[same], found[same]
+        return at[same], found[same]
+
+    def owners(self, at, found):
+        """(items, diagonals) of hits, in parts of about ``HITS``, as many items may share a q-gram."""
+        import numpy as np
+
         many = self.count[found]
-        total = int(many.sum())
-        if not total:
+        part = (np.cumsum(many) - many) // HITS
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        for at, found, many in zip(*(np.split(x, cuts) for x in (at, found, many))):
+            shift = self.first[found] - np.cumsum(many) + many
+            entry = np.repeat(shift, many) + np.arange(int(many.sum()))
+            yield self.owner[entry], np.repeat(at, many) - self.place[entry]
+
+    def bands(self, codes):
+        """Items and bands of diagonals that keep enough q-grams: (item, band)."""
+        import numpy as np
+
+        at, found = self.hits(codes)
+        if not len(at):
             return []
-        entry = np.repeat(self.first[found] - np.cumsum(many) + many, many) + np.arange(total)
-        item = self.owner[entry]
-        hits = np.bincount(item, minlength=len(self.ids))
-        enough = hits[item] >= self.least_of[item]
+        total = np.zeros(len(self.ids), "int64")
+        for item, _ in self.owners(at, found):
+            total += np.bincount(item, minlength=len(self.ids))
+        enough = total >= self.least
         if not enough.any():
             return []
-        item = item[enough]
-        diagonal = np.repeat(at, many)[enough] - self.place[entry[enough]]
-        band = diagonal // self.width[item]
-        both = diagonal - band * self.width[item] < self.edits_of[item]
-        item = np.concatenate([item, item[both]])
-        band = np.concatenate([band, band[both] - 1])
-        span = len(codes) + int(self.width.max()) + max(len(c) for c in self.codes) + 2
-        keys, counts = np.unique(item * (2 * span) + band + span, return_counts=True)
-        kept = keys[counts >= self.least_of[keys // (2 * span)]]
+        span = len(codes) + int(self.width.max()) + self.longest + 2
+        keys, counts = np.empty(0, "int64"), np.empty(0, "int64")
+        for item, diagonal in self.owners(at, found):
+            item, diagonal = item[enough[item]], diagonal[enough[item]]
+            band = diagonal // self.width[item]
+            both = diagonal - band * self.width[item] < self.edits[item]
+            item = np.concatenate([item, item[both]])
+            band = np.concatenate([band, band[both] - 1])
+            more, n = np.unique(item * (2 * span) + band + span, return_counts=True)
+            keys, place = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, n]), len(keys)).astype("int64")
+        kept = keys[counts >= self.least[keys // (2 * span)]]
         return [(int(k // (2 * span)), int(k % (2 * span)) - span) for k in kept]
 
-    def matches(self, text: str):
-        """Best place of every item that the text holds: (item id, edits, start, end)."""
-        codes, where = folded(text)
+    def matches(self, codes):
+        """Best place of every item in a folded text: {item id: (edits, start, end)}."""
         best: dict[int, tuple[int, int, int]] = {}
         for item, band in self.bands(codes):
-            width, edits = int(self.width[item]), self.edits[item]
+            width, edits = int(self.width[item]), int(self.edits[item])
             low = band * width
             high = low + width + edits - 1
             start = max(0, low - edits)
@@ -219,9 +229,51 @@ class Index:
             if found is None or found[0] > edits:
                 continue
             cost, first, last = found
-            place = (cost, int(where[start + first]), int(where[start + last - 1]) + 1)
+            place = (cost, start + first, start + last)
             best[item] = min(best.get(item, place), place)
-        return [(self.ids[item], *place) for item, place in sorted(best.items())]
+        return [(self.ids[item], *place) for item, place in best.items()]
+
+    def words(self, codes, where):
+        """First place of every item that is one q-gram and stands apart from other letters."""
+        import numpy as np
+
+        at, found = self.hits(codes)
+        before, after = np.append(-2, where), np.append(where, where[-1:] + 2)
+        apart = (before[at] + 1 < where[at]) & (after[at + self.q] > where[at + self.q - 1] + 1)
+        found, first = np.unique(found[apart], return_index=True)
+        at = at[apart][first]
+        return [
+            (self.ids[item], 0, int(start), int(start) + self.q)
+            for entry, start in zip(found, at)
+            for item in self.owner[self.first[entry] : self.first[entry] + self.count[entry]]
+            if np.array_equal(self.codes[item], codes[start : start + self.q])
+        ]
+
+
+class Block:
+    """A block of items: an index for every length of q-gram they are found by."""
+
+    def __init__(self, items: list[tuple[int, str]], q: int, rate: float):
+        long: dict[int, list] = {}
+        short: dict[int, list] = {}
+        for item_id, text in items:
+            codes, _ = folded(text)
+            if len(codes):
+                edits, gram, least = budget(len(codes), q, rate)
+                kind = long if len(codes) >= q else short
+                kind.setdefault(gram, []).append((item_id, codes, edits, least))
+        self.long = [Index(part, gram) for gram, part in sorted(long.items())]
+        self.short = [Index(part, gram) for gram, part in sorted(short.items())]
+
+    def matches(self, text: str):
+        """Best place of every item that the text holds: (item id, edits, start, end)."""
+        codes, where = folded(text)
+        found = [match for index in self.long for match in index.matches(codes)]
+        found += [match for index in self.short for match in index.words(codes, where)]
+        return [
+            (item, edits, int(where[first]), int(where[last - 1]) + 1)
+            for item, edits, first, last in sorted(found, key=lambda match: match[0] or 0)
+        ]
 
 
 _INDEXES: dict = {}
@@ -248,9 +300,10 @@ def find_passages(
 
     The benchmark is the stated set of queries. It is searched in blocks of at
     most ``block_chars`` characters, one scan of the documents each; a block is
-    what is broadcast. Items with fewer than ``q`` letters and digits are too
-    short to tell a leak and are not searched; neither are null items. Null
-    texts match nothing. Repeated rows give repeated results; null ids are kept.
+    what is broadcast. Short items are found by shorter q-grams. Items with fewer
+    than ``q`` letters and digits must stand in the text without an edit and apart
+    from other letters and digits, as "cat" does not in "education". Null items
+    and items without a letter or digit are not searched. Null texts match nothing. Repeated rows give repeated results; null ids are kept.
     Empty tables give an empty result.
     """
     spark = docs.sparkSession
@@ -260,14 +313,14 @@ def find_passages(
     )
     read = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     results = None
-    for number, block in _blocks(items, block_chars):
+    for block in _blocks(items, block_chars):
         shared = spark.sparkContext.broadcast(block)
+        content = hashlib.sha256(repr(block).encode("utf-8", "replace")).hexdigest()
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared, number=number):
-            key = (id(shared.value), number, q, rate)
+        def search(batches: Iterator[pa.RecordBatch], shared=shared, key=(content, q, rate)):
             if key not in _INDEXES:
                 _INDEXES.clear()
-                _INDEXES[key] = Index(shared.value, q, rate)
+                _INDEXES[key] = Block(shared.value, q, rate)
             index = _INDEXES[key]
             for batch in batches:
                 ids = iter(batch.column(0).to_pylist())
@@ -290,15 +343,15 @@ def find_passages(
 
 def _blocks(items: DataFrame, block_chars: int):
     """The items in lists of bounded size, read one after the other."""
-    block, chars, number = [], 0, 0
+    block, chars = [], 0
     for row in items.toLocalIterator():
         block.append((row["item_id"], row["text"]))
         chars += len(row["text"])
         if chars >= block_chars:
-            yield number, block
-            block, chars, number = [], 0, number + 1
+            yield block
+            block, chars = [], 0
     if block:
-        yield number, block
+        yield block
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
