@@ -248,6 +248,33 @@ def test_similar_lines(documents, nothing):
     assert linededup.without_similar_lines(nothing).count() == 0
 
 
+def test_lines_of_repeated_and_missing_ids(spark):
+    words = [f"w{i}" for i in range(20)]
+    line = " ".join(words)
+    near = " ".join(["x", *words[1:]])
+    also = " ".join([*words[:-1], "y"])
+    other = "a line that stands alone"
+    rows = [(5, line), (None, other + "\n" + near), (None, near + " z"), (1, other), (1, also), (1, also)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(
+        (r.doc_id, r.line_no, r.n_words, r.n_links, r.removed)
+        for r in linededup.similar_lines(docs).collect()
+    )
+    # line, near, near + z and also are similar, but for near and also, near + z and also.
+    assert got == Counter(
+        {
+            (5, 0, 20, 3, True): 1,
+            (None, 0, 5, 0, True): 1,
+            (None, 1, 20, 2, True): 1,
+            (None, 0, 21, 2, True): 1,
+            (1, 0, 5, 0, False): 1,
+            (1, 0, 20, 1, False): 2,
+        }
+    )
+    kept = Counter((r.doc_id, r.text) for r in linededup.without_similar_lines(docs).collect())
+    assert kept == Counter([r for r in rows if r[0] != 5])
+
+
 def test_quality_ledger(documents, nothing):
     rows = {r.doc_id: r for r in quality.ledger(documents).collect()}
     for doc, text in texts_of(documents):

@@ -24,11 +24,17 @@ HASH_BITS = 56
 N_BITS, AT_BITS, PARITY_BITS = 15, 8, 40
 
 
+def _row_key(doc: Column | str, text: Column | str) -> Column:
+    """Tells rows of one id, or of none, apart by their text; copies share it."""
+    return F.xxhash64(doc, text)
+
+
 def _lines(docs: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc_id, line_no, line): lines between ``\\n``, numbered from 0."""
-    return docs.select(
-        F.col(doc).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n"))
-    ).select("doc_id", F.col("pos").alias("line_no"), F.col("col").alias("line"))
+    """(doc_id, row_key, line_no, line): lines between ``\\n``, numbered from 0."""
+    read = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return read.select(
+        "doc_id", _row_key("doc_id", "text").alias("row_key"), F.posexplode(F.split("text", "\n"))
+    ).select("doc_id", "row_key", F.col("pos").alias("line_no"), F.col("col").alias("line"))
 
 
 def _words(line: Column | str) -> Column:
@@ -83,7 +89,7 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     tokens = (
         _lines(docs, doc, text)
         .where(F.col("line").rlike(NOT_SPACE))
-        .select("doc_id", "line_no", _tokens(_words("line"), classes).alias("t"))
+        .select("doc_id", "row_key", "line_no", _tokens(_words("line"), classes).alias("t"))
     )
     # Of n words, n - ceil(threshold * n) + 1 must hold one in common with any similar line.
     prefix = F.size("t") - F.ceil(F.size("t") * top / whole).cast("int") + 1
@@ -96,6 +102,7 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     )
     return tokens.select(
         "doc_id",
+        "row_key",
         "line_no",
         F.size("t").alias("n"),
         F.xxhash64("t").alias("s1"),
@@ -162,24 +169,29 @@ def _verified(
     """The pairs whose whole sets of words are similar, with both classes' first places.
 
     Documents are joined with the numbers of their wanted lines, so that only
-    these lines leave them.
+    these lines leave them; of rows that repeat an id and text one is enough.
     """
     top, whole = _ratio(threshold)
     ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct(), "paired")
     wanted = (
         classes.join(ids, "s1")
-        .select(_doc_of("first").alias("doc_id"), F.struct(_line_of("first").alias("line_no"), "s1", "first").alias("w"))
-        .groupBy("doc_id")
+        .select(
+            _doc_of("first").alias("_doc"),
+            F.col("row_key").alias("_key"),
+            F.struct(_line_of("first").alias("line_no"), "s1", "first").alias("w"),
+        )
+        .groupBy("_doc", "_key")
         .agg(F.collect_set("w").alias("wanted"))
     )
     read = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    split = read.join(settle(wanted, "wanted-lines"), "doc_id").select(
+    of_row = (_row_key("doc_id", "text") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+    split = read.join(settle(wanted, "wanted-lines"), of_row).select(
         F.split("text", "\n").alias("all"), F.explode("wanted").alias("w")
     )
     lines = split.select(
         F.col("w.s1").alias("id"), F.col("w.first").alias("place"), F.get("all", "w.line_no").alias("line")
     )
-    sets = settle(lines.where(F.col("line").isNotNull()), "paired-lines")
+    sets = settle(lines.where(F.col("line").isNotNull()).dropDuplicates(["id"]), "paired-lines")
 
     pairs = settle(_alike(pairs, sets, threshold), "alike-lines")
 
@@ -288,36 +300,47 @@ def similar_lines(
     join, so a line may be repeated any number of times.
 
     Null and blank lines are not returned. Lines without a document id come
-    last, as those of one document, and are compared for equal sets only. Ids
-    should be unique: rows that repeat one are the same document, and lines at
-    the same place of it do not remove each other. An empty table gives an empty
-    result; further columns are not read.
+    last, as those of one document. Ids should be unique: rows that repeat one are
+    the same document. Of similar lines at the same place of it one is the later;
+    those of equal sets there do not remove each other. An empty table gives an
+    empty result; further columns are not read.
     """
+    return _judged(docs, doc, text, threshold).drop("row_key")
+
+
+def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame:
+    """``similar_lines`` with the key of the row each line stands in."""
     lines = settle(_signed(docs, doc, text, threshold), "lines")
     keys = ["s1", "s2"]
     classes = (
         lines.groupBy(*keys)
         .agg(
-            F.min(_place("doc_id", "line_no")).alias("first"),
+            F.min(F.struct(_place("doc_id", "line_no").alias("place"), "row_key")).alias("first"),
             F.count("*").alias("copies"),
             F.first("n").alias("n"),
             F.first("parity").alias("parity"),
             F.first("prefix").alias("prefix"),
         )
-        .select("s1", "s2", "first", "copies", "n", "parity", "prefix")
+        .select("s1", "s2", "first.place", "first.row_key", "copies", "n", "parity", "prefix")
+        .withColumnRenamed("place", "first")
     )
     classes = settle(classes, "line-classes")
     pairs = settle(_candidates(classes, threshold), "line-pairs")
-    identified = docs.where(F.col(doc).isNotNull())
-    linked = settle(_verified(pairs, classes, identified, doc, text, threshold), "line-links")
-    each = linked.select(
-        F.col("a").alias("s1"), F.col("place_a").alias("own"), F.col("place_b").alias("other")
-    ).unionByName(
-        linked.select(
-            F.col("b").alias("s1"), F.col("place_b").alias("own"), F.col("place_a").alias("other")
+    linked = settle(_verified(pairs, classes, docs, doc, text, threshold), "line-links")
+
+    def links_of(own: str, other: str) -> DataFrame:
+        return linked.select(
+            F.col(own).alias("s1"),
+            F.col(f"place_{own}").alias("own"),
+            F.col(f"place_{other}").alias("other"),
+            F.col(other).alias("s1_other"),
         )
+
+    each = links_of("a", "b").unionByName(links_of("b", "a"))
+    before = (F.col("other") < F.col("own")) | (
+        (F.col("other") == F.col("own")) & (F.col("s1_other") < F.col("s1"))
     )
-    earlier = F.when(F.col("other") < F.col("own"), F.col("other"))
+    earlier = F.when(before, F.col("other"))
     links = each.groupBy("s1", "own").agg(
         F.count("*").alias("n_links"), F.min(earlier).alias("match")
     )
@@ -330,10 +353,11 @@ def similar_lines(
     place = _place("doc_id", "line_no")
     own = F.coalesce("first", place)
     return (
-        lines.select("doc_id", "line_no", "n", *keys)
+        lines.select("doc_id", "row_key", "line_no", "n", *keys)
         .join(settle(known, "known-lines"), keys, "left")
         .select(
             "doc_id",
+            "row_key",
             "line_no",
             F.col("n").alias("n_words"),
             _doc_of(own).alias("first_doc_id"),
@@ -354,14 +378,16 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     as they are, and so do documents without an id.
     """
     gone = (
-        similar_lines(docs)
+        _judged(docs, "doc_id", "text", THRESHOLD)
         .where("removed AND doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_doc"))
+        .groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
         .agg(F.collect_set("line_no").alias("_gone"))
     )
     gone = settle(gone, "removed-lines")
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = whole.join(gone, F.col("row.doc_id") == F.col("_doc"), "left")
+    number = F.col("row.doc_id").cast("long")
+    of_row = (number == F.col("_doc")) & (_row_key(number, F.col("row.text")) == F.col("_key"))
+    joined = whole.join(gone, of_row, "left")
     split = compute_once(joined, {"all": F.split("row.text", "\n")})
     left = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "_gone")
     split = compute_once(split, {"left": F.when(F.col("_gone").isNotNull(), left)})
