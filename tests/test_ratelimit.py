@@ -111,6 +111,30 @@ def test_step_by_step_equals_a_walk(frame):
     assert numbers == expected
 
 
+def test_late_requests_count_when_they_arrive(frame):
+    def step(rows, windows):
+        flagged, windows = rate_limit_step(
+            frame([(k, START + timedelta(seconds=s), i) for k, s, i in rows], SCHEMA),
+            windows, "key", "ts", 2, 60, ("id",), pieces=2,
+        )
+        got = {r.id: (r.ts, r.request_number, r.allowed) for r in flagged.collect()}
+        return {i: got[i][1:] for _, s, i in rows if got[i][0] == START + timedelta(seconds=s)}, windows
+
+    got, windows = step([("a", 20, 1), ("a", 21, 2), ("b", 21, 3)], None)
+    assert got == {1: (1, True), 2: (2, True), 3: (1, True)}
+    # In the open window; of a key without one; a repeat of the window's first moment.
+    got, windows = step([("a", 10, 4), ("c", 10, 5), ("b", 21, 6)], windows)
+    assert got == {4: (3, False), 5: (1, True), 6: (2, True)}
+    assert {r.key: r.anchor_us // 10**6 % 60 for r in windows.collect()} == {"a": 20, "b": 21, "c": 21}
+    # An empty part changes nothing; late requests part by part do not escape the limit.
+    got, windows = step([], windows)
+    assert got == {} and windows.count() == 3
+    got, windows = step([("c", 5, 7)], windows)
+    assert got == {7: (2, True)}
+    got, windows = step([("c", 4, 8), ("a", 80, 9)], windows)
+    assert got == {8: (3, False), 9: (1, True)}
+
+
 WIDE = "key string, ts timestamp_ntz, id long, acct long"
 BIG = 2**60
 

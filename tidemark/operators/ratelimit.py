@@ -408,13 +408,20 @@ def rate_limit_step(
 ) -> tuple[DataFrame, DataFrame]:
     """(flagged requests, open windows after them) for the next part of a stream.
 
-    ``open_windows`` (key, anchor_us, counted) is what the step before returned.
-    Parts must come in order of time. Windows that ended before the newest
-    request are dropped from the state.
+    ``open_windows`` (key, anchor_us, counted, clock_us) is what the step before
+    returned. Windows that ended before the newest request are dropped from it.
+
+    A request that comes late, with a time before the newest one of earlier parts,
+    counts as of its arrival: at that newest time (``clock_us``). It so falls into
+    the window that is open, cannot move one back and cannot open one in the past;
+    its own time column stays as it is. Within a part requests count by their time.
     """
     window_us = window_seconds * 1_000_000
     rows = _weighted(requests, key, ts).withColumn("_request", F.lit(True))
+    clock = F.lit(None).cast("bigint")
     if open_windows is not None:
+        clock = open_windows.agg(F.max("clock_us")).scalar()
+        rows = rows.withColumn(US, F.greatest(US, clock))
         earlier = open_windows.select(
             key,
             F.col("anchor_us").alias(US),
@@ -423,14 +430,16 @@ def rate_limit_step(
         )
         rows = rows.unionByName(earlier, allowMissingColumns=True)
     numbered = settle(
-        _numbered(rows, key, list(order), window_us, pieces), "numbered"
+        # What is counted already comes before a request of the same moment.
+        _numbered(rows, key, ["_request", *order], window_us, pieces),
+        "numbered",
     )
     flagged = (
         numbered.filter("_request")
         .drop(US, WEIGHT, ANCHOR, "_request")
         .withColumns(_verdict(limit))
     )
-    newest = numbered.agg(F.max(US)).scalar()
+    newest = F.greatest(numbered.agg(F.max(US)).scalar(), clock)
     last = F.max(F.struct(ANCHOR, "request_number")).alias("_last")
     still_open = (
         numbered.groupBy(key)
@@ -439,7 +448,8 @@ def rate_limit_step(
             key,
             F.col(f"_last.{ANCHOR}").alias("anchor_us"),
             F.col("_last.request_number").alias("counted"),
+            newest.alias("clock_us"),
         )
-        .filter(F.col("anchor_us") + window_us > newest)
+        .filter(F.col("anchor_us") + window_us > F.col("clock_us"))
     )
     return flagged.unionByName(_without_key(requests, key, limit)), still_open

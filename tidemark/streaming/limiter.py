@@ -27,7 +27,8 @@ def run_rate_limit(
     """Write ``flags`` under ``path``, and ``windows``, the state after every batch.
 
     A batch reads the windows its predecessor left and writes its own, so it
-    can be repeated. Batches must come in order of time.
+    can be repeated. Requests later than the batches before them count as of
+    their arrival, see ``rate_limit_step``.
     """
 
     def handle(batch: DataFrame, run: str, batch_id: int) -> None:
