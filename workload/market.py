@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import gold, serving, staging
 from tidemark.plans.storage import scratch_path
-from tidemark.sources import tables
+from tidemark.sources import refresh, tables
 from workload import adapters, sql
 from workload.adapters import bronze, table
 
@@ -144,6 +144,21 @@ def gold_views(spark, sf_dir):
     return spark.table("gold_latest_sentiment")
 
 
+def gold_incremental(spark, sf_dir):
+    """The hourly table after two loads: all days but the newest, then the newest day.
+
+    The second refresh rolls up that day alone.
+    """
+    as_of = adapters.as_of(spark, sf_dir)
+    rows = bronze(table(spark, sf_dir, "events"))
+    newest = F.col("ingested_at") >= F.to_date(F.lit(as_of).cast("timestamp_ntz"))
+    bronze_path, path = scratch_path(spark, "bronze"), scratch_path(spark, "gold-parts")
+    for load in (~newest | newest.isNull(), newest):
+        tables.write_bronze(rows.filter(load), bronze_path)
+        refresh.refresh_hourly(spark, bronze_path, path, as_of)
+    return refresh.read_hourly(spark, path)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -168,6 +183,7 @@ QUERIES = {
         response_violations,
         bronze_table,
         gold_views,
+        gold_incremental,
     )
 }
 
@@ -209,6 +225,7 @@ SELECT id, symbol, price_usd, volume_24h, market_cap, percent_change_24h,
        sentiment_score, sentiment_reasoning, ingested_at, as_of AS processed_at
 FROM staged""",
     "gold_hourly_sentiment": f"WITH {sql.hourly()} SELECT * FROM hourly",
+    "gold_incremental": f"WITH {sql.hourly()} SELECT * FROM hourly",
     "gold_hourly_sentiment_24h": f"WITH {sql.hourly(_RECENT)} SELECT * FROM hourly",
     "gold_latest_sentiment": f"WITH {sql.LATEST} SELECT * FROM latest",
     "gold_latest_prev_hour": f"WITH {sql.LATEST_PREVIOUS} SELECT * FROM latest",
