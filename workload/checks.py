@@ -7,7 +7,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold, quality, staging
+from tidemark.operators import gold, idledger, quality, staging
+from tidemark.plans.storage import scratch_path
 from workload import adapters, sql
 from workload.adapters import bronze, table
 
@@ -123,6 +124,15 @@ def model_tests(spark, sf_dir):
     )
 
 
+def unique_over_appends(spark, sf_dir):
+    """Repeated ids from a ledger that was fed the same rows in three appends."""
+    rows, path = _redelivered(spark, sf_dir), scratch_path(spark, "id-ledger")
+    part = F.coalesce(F.dayofyear("ingested_at") % 3, F.lit(0))
+    for number in range(3):
+        idledger.append_values(rows.filter(part == number), "id", path, str(number))
+    return idledger.repeated_values(spark, path, "id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -133,6 +143,7 @@ QUERIES = {
         dq_statistics,
         checkpoint_log,
         failing_unique,
+        unique_over_appends,
         failing_not_null,
         failing_accepted_range,
         failing_accepted_values,
@@ -382,6 +393,7 @@ SELECT 'sentiment_checkpoint' AS checkpoint_name,
        'bronze_raw_data' AS table_name, count(*) AS row_count, max(element_count) AS rows_scanned
 FROM ({_SENTIMENT_CHECKS})""",
     "failing_unique": f"WITH {_REDELIVERED} SELECT id, n AS n_records FROM copies WHERE n > 1",
+    "unique_over_appends": f"WITH {_REDELIVERED} SELECT id, n AS n_records FROM copies WHERE n > 1",
     "failing_not_null": f"WITH {sql.MESSAGES} SELECT id, source FROM messages WHERE sentiment_score IS NULL",
     "failing_accepted_range": f"""WITH {sql.STAGED}
 SELECT id, symbol, percent_change_24h FROM staged WHERE percent_change_24h NOT BETWEEN -4 AND 4""",
