@@ -10,13 +10,13 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.schemas import BRONZE, QUALITY_LOG
@@ -160,12 +160,18 @@ def _result(
     )
 
 
-def _row_wise(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def row_totals(checks: Sequence[Check]) -> list[Column]:
+    """Counters of row-wise checks, for one aggregation or observation of a table."""
     totals = [F.count("*").alias("_rows")]
     for i, check in enumerate(checks):
         relevant = _relevant(check)
         totals.append(F.count_if(relevant).alias(f"_seen{i}"))
         totals.append(F.count_if(relevant & _unexpected(check)).alias(f"_bad{i}"))
+    return totals
+
+
+def row_results(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One result row per check from the row of counters."""
     results = [
         _result(
             check,
@@ -176,7 +182,7 @@ def _row_wise(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         )
         for i, check in enumerate(checks)
     ]
-    return df.agg(*totals).select(F.inline(F.array(*results)))
+    return totals.select(F.inline(F.array(*results)))
 
 
 def _uniqueness(df: DataFrame, check: Check) -> DataFrame:
@@ -212,16 +218,24 @@ def _columns(df: DataFrame, check: Check) -> DataFrame:
 
 def validate(df: DataFrame, suite: str | Sequence[Check]) -> DataFrame:
     """One result row per check, over all rows."""
+    row_wise, apart = split_suite(suite)
+    parts = [judge(df, c) for c, judge in apart]
+    if row_wise:
+        parts.append(row_results(df.agg(*row_totals(row_wise)), row_wise))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def split_suite(suite: str | Sequence[Check]) -> tuple[list[Check], list[tuple]]:
+    """The row-wise checks of a suite, and the others with what judges them."""
     checks = SUITES[suite] if isinstance(suite, str) else list(suite)
-    apart = {
+    judges = {
         "expect_table_columns_to_match_ordered_list": _columns,
         "expect_column_values_to_be_unique": _uniqueness,
     }
-    parts = [apart[c.kind](df, c) for c in checks if c.kind in apart]
-    row_wise = [c for c in checks if c.kind not in apart]
-    if row_wise:
-        parts.append(_row_wise(df, row_wise))
-    return reduce(DataFrame.unionByName, parts)
+    return (
+        [c for c in checks if c.kind not in judges],
+        [(c, judges[c.kind]) for c in checks if c.kind in judges],
+    )
 
 
 def scored(bronze: DataFrame) -> DataFrame:
@@ -255,10 +269,22 @@ def run_checkpoint(
     ``row_count`` holds the number of evaluated checks, as the log always has;
     the rows scanned are in the metadata. A failing job gives an error row.
     """
+    return judged(
+        df.sparkSession, lambda: validate(df, suite).collect(), checkpoint_name, table_name, run_time
+    )
+
+
+def judged(
+    spark: SparkSession,
+    judge: Callable[[], list[Row]],
+    checkpoint_name: str,
+    table_name: str,
+    run_time: datetime,
+) -> DataFrame:
+    """The log row of a checkpoint whose result rows ``judge`` gives."""
     started = time.monotonic()
-    spark = df.sparkSession
     try:
-        results = validate(df, suite).collect()
+        results = judge()
     except Exception as error:
         row = (
             checkpoint_name,
