@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import gold, idledger, quality, staging
+from tidemark.operators import gate, gold, idledger, quality, staging
 from tidemark.plans.storage import scratch_path
 from workload import adapters, sql
 from workload.adapters import bronze, table
@@ -133,6 +133,36 @@ def unique_over_appends(spark, sf_dir):
     return idledger.repeated_values(spark, path, "id")
 
 
+def gated_append(spark, sf_dir):
+    """Three loads through the gate: the second holds redelivered messages and stays out.
+
+    One row per load, as read back from the log, with the rows it added to the table.
+    """
+    plain = bronze(table(spark, sf_dir, "events"))
+    path, log = scratch_path(spark, "gated"), scratch_path(spark, "gate-log")
+    run_time = datetime.fromisoformat(adapters.as_of(spark, sf_dir))
+    suite = [quality.not_null("id"), quality.unique("id"), quality.between("sentiment_score", 1, 10)]
+    part = F.coalesce(F.dayofyear("ingested_at") % 3, F.lit(0))
+    for number, rows in enumerate((plain, _redelivered(spark, sf_dir), plain)):
+        load = rows.filter(part == number)
+        logged = gate.append_checked(load, path, suite, f"load-{number}", "gated", run_time)
+        quality.log_validation(logged, log)
+    published = gate.read_checked(spark, path, plain.schema).groupBy(
+        F.concat(F.lit("load-"), part).alias("checkpoint_name")
+    )
+    return (
+        spark.read.parquet(log)
+        .join(published.count(), "checkpoint_name", "left")
+        .select(
+            "checkpoint_name",
+            "status",
+            "failed_count",
+            F.get_json_object("metadata", "$.rows_scanned").cast("bigint").alias("rows_scanned"),
+            F.coalesce("count", F.lit(0)).alias("published_rows"),
+        )
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -144,6 +174,7 @@ QUERIES = {
         checkpoint_log,
         failing_unique,
         unique_over_appends,
+        gated_append,
         failing_not_null,
         failing_accepted_range,
         failing_accepted_values,
@@ -394,6 +425,20 @@ SELECT 'sentiment_checkpoint' AS checkpoint_name,
 FROM ({_SENTIMENT_CHECKS})""",
     "failing_unique": f"WITH {_REDELIVERED} SELECT id, n AS n_records FROM copies WHERE n > 1",
     "unique_over_appends": f"WITH {_REDELIVERED} SELECT id, n AS n_records FROM copies WHERE n > 1",
+    "gated_append": f"""WITH {sql.MESSAGES},
+loads AS (
+  SELECT id, coalesce(dayofyear(ingested_at) % 3, 0) AS part FROM messages
+  UNION ALL
+  SELECT id, 1 FROM messages WHERE event_type = 'error' AND dayofyear(ingested_at) % 3 = 1),
+judged AS (
+  SELECT n, count(id) AS seen, count(id) > count(DISTINCT id) AS repeats
+  FROM range(3) AS r(n) LEFT JOIN loads ON part = n GROUP BY n)
+SELECT 'load-' || n AS checkpoint_name,
+       CASE WHEN repeats THEN 'failed' ELSE 'passed' END AS status,
+       CASE WHEN repeats THEN 1 ELSE 0 END AS failed_count,
+       seen AS rows_scanned,
+       CASE WHEN repeats THEN 0 ELSE seen END AS published_rows
+FROM judged""",
     "failing_not_null": f"WITH {sql.MESSAGES} SELECT id, source FROM messages WHERE sentiment_score IS NULL",
     "failing_accepted_range": f"""WITH {sql.STAGED}
 SELECT id, symbol, percent_change_24h FROM staged WHERE percent_change_24h NOT BETWEEN -4 AND 4""",
