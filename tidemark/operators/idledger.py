@@ -9,7 +9,7 @@ from tidemark.functions.times import column_type
 from tidemark.plans.storage import settle
 from tidemark.sources.snapshots import Snapshot, current, new_folder, publish, read_parts
 
-BUCKETS = 256
+BUCKETS = 64
 #: ``value`` is kept only of values that occur more than once.
 LEDGER = "mark binary, n_records long, value string"
 _BUCKET, _COUNT, _TYPE, _LAST = "_bucket", "buckets", "type", "last"
