@@ -1,6 +1,7 @@
 """Every operator against a plain version of itself, on rows with gaps and ties."""
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -422,3 +423,48 @@ def test_every_language_is_learnt_however_many_there_are(spark):
         assert sorted(set(model["langs"])) == names
         assert len(model["langs"]) == each * len(names)
     assert "und" not in {r.lang_pred for r in langid.predict(docs, model).collect()}
+
+
+def _pair_of(random, n, other, common):
+    """Two sets of 64-bit codes of these sizes with so many in common."""
+    codes = np.unique(random.integers(0, 1 << 64, n + other, dtype="uint64"))
+    random.shuffle(codes)
+    return np.sort(codes[:n]), np.sort(np.r_[codes[:common], codes[n : n + other - common]])
+
+
+def test_sketches_give_up_no_linked_pair_and_most_others():
+    random = np.random.default_rng(5)
+    passed = {0.5: 0, 0.75: 0}
+    for n in (1, 2, 40, 300, 1000, 1023, 1024, 1500, 2047, 2048, 5000):
+        for share in passed:
+            for _ in range(10):
+                other = max(1, int(n * random.uniform(0.8, 1.25)))
+                common = min(n, other, math.ceil(share * (n + other) / (1 + share)))
+                one, two = _pair_of(random, n, other, common)
+                both = [neardup.sketch(codes).view("uint64")[None] for codes in (one, two)]
+                sizes = [np.array([len(codes)]) for codes in (one, two)]
+                fits = neardup.may_link(both[0], sizes[0], both[1], sizes[1])[0, 0]
+                linked = 4 * common >= 3 * (len(one) + len(two) - common)
+                assert fits or not linked, (n, other, common)
+                passed[share] += fits
+    assert passed[0.5] < 55
+
+
+def test_tables_of_many_blocks_compare_every_member_with_every_start(spark):
+    """One table of several blocks: all links across components, none within one."""
+    random = np.random.default_rng(6)
+    base = np.sort(random.integers(0, 1 << 64, 200, dtype="uint64"))
+    rows = []
+    for number in range(3 * neardup.BLOCK):
+        # Members swap 12 codes; pairs keep 188 or fewer of 200 and stay linked.
+        mine = base.copy()
+        mine[random.choice(200, 12, replace=False)] = random.integers(0, 1 << 64, 12, dtype="uint64")
+        bits = neardup.sketch(np.sort(mine)).tolist()
+        rows.append((1, number, 200, len(rows) // 2, 3 * neardup.BLOCK, bits))
+    table = spark.createDataFrame(rows, "key long, id long, size long, c long, n long, sketch array<long>")
+    found = neardup._across(table, table.where("id < 5"), 1000).collect()
+    wanted = {
+        (min(a, b), max(a, b)) for a in range(5) for b in range(len(rows)) if a != b and a // 2 != b // 2
+    }
+    assert {(row.a, row.b) for row in found} == wanted
+    assert len(found) == len(wanted)
