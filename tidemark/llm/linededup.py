@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.once import compute_once
-from tidemark.plans.storage import settle
+from tidemark.plans.storage import scratch_scope, settle
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -325,8 +325,10 @@ def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
         .withColumnRenamed("place", "first")
     )
     classes = settle(classes, "line-classes")
-    pairs = settle(_candidates(classes, threshold), "line-pairs")
-    linked = settle(_verified(pairs, classes, docs, doc, text, threshold), "line-links")
+    with scratch_scope(docs.sparkSession):
+        pairs = settle(_candidates(classes, threshold), "line-pairs")
+        linked = _verified(pairs, classes, docs, doc, text, threshold)
+        linked = settle(linked, "line-links", keep=True)
 
     def links_of(own: str, other: str) -> DataFrame:
         return linked.select(
@@ -377,13 +379,14 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     Documents that lose their last word are dropped; documents that had none stay
     as they are, and so do documents without an id.
     """
-    gone = (
-        _judged(docs, "doc_id", "text", THRESHOLD)
-        .where("removed AND doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
-        .agg(F.collect_set("line_no").alias("_gone"))
-    )
-    gone = settle(gone, "removed-lines")
+    with scratch_scope(docs.sparkSession):
+        gone = (
+            _judged(docs, "doc_id", "text", THRESHOLD)
+            .where("removed AND doc_id IS NOT NULL")
+            .groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
+            .agg(F.collect_set("line_no").alias("_gone"))
+        )
+        gone = settle(gone, "removed-lines", keep=True)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     number = F.col("row.doc_id").cast("long")
     of_row = (number == F.col("_doc")) & (_row_key(number, F.col("row.text")) == F.col("_key"))

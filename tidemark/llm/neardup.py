@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.tokens import grouped
-from tidemark.plans.storage import settle
+from tidemark.plans.storage import scratch_scope, settle
 
 WORDS = 5
 #: Two documents are linked from this percentage of their joint shingles on.
@@ -415,27 +415,29 @@ def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     read = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = settle(_signed(read, "doc_id", "text"), "signed")
     filled = "sig IS NOT NULL AND doc_id IS NOT NULL"
-    classes = settle(
-        signed.where(filled)
-        .groupBy("sig")
-        .agg(
-            F.min("doc_id").alias("id"),
-            F.first("halves").alias("halves"),
-            F.first("sketch").alias("sketch"),
-            F.first("n_shingles").alias("size"),
-        ),
-        "sets",
-    )
-    linked = _links(classes, read.where("doc_id IS NOT NULL AND text IS NOT NULL"))
-    group = F.coalesce("component", "id").alias("component_id")
-    named = classes.join(linked, classes["id"] == linked["node"], "left").select("sig", group)
+    with scratch_scope(docs.sparkSession):
+        classes = settle(
+            signed.where(filled)
+            .groupBy("sig")
+            .agg(
+                F.min("doc_id").alias("id"),
+                F.first("halves").alias("halves"),
+                F.first("sketch").alias("sketch"),
+                F.first("n_shingles").alias("size"),
+            ),
+            "sets",
+        )
+        linked = _links(classes, read.where("doc_id IS NOT NULL AND text IS NOT NULL"))
+        group = F.coalesce("component", "id").alias("component_id")
+        named = classes.join(linked, classes["id"] == linked["node"], "left").select("sig", group)
+        named = settle(named, "groups", keep=True)
     alone = signed.where(f"NOT ({filled})").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
     rows = (
         signed.where(filled)
         .select("doc_id", "n_shingles", "sig")
-        .join(settle(named, "groups"), "sig")
+        .join(named, "sig")
         .select("doc_id", "n_shingles", "component_id")
         .unionByName(alone)
     )
@@ -449,6 +451,7 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     Documents are dropped by id: those that are in a group led by another id.
     Rows without an id stay.
     """
-    judged = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_again"))
-    found = settle(judged.distinct(), "near-duplicates")
+    with scratch_scope(docs.sparkSession):
+        judged = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_again"))
+        found = settle(judged.distinct(), "near-duplicates", keep=True)
     return docs.join(found, docs["doc_id"] == found["_again"], "left_anti")
