@@ -43,3 +43,18 @@ def salted_join(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     return big.withColumn("_salt", salt).join(repeated, [on, "_salt"], how).drop("_salt")
+
+
+#: Rows of a piece that a task of costly row-wise work takes; some seconds of it.
+PIECE_ROWS = 50_000
+
+
+def spread(df: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Deal the rows of a table evenly to tasks of about ``piece_rows``.
+
+    Files are split by bytes and row groups, which says little about the work
+    behind a row: a compressed file of a million rows is one or two tasks. The
+    rows should be moved before they grow wide. Their order is lost.
+    """
+    pieces = -(-df.count() // piece_rows)
+    return df.repartition(pieces) if pieces > 1 else df

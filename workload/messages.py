@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers, sentiment, text
 from tidemark.operators import deadletter, enrich, ingest
+from tidemark.plans.skew import spread
 from tidemark.sources import envelope
 from workload import adapters, sql
 from workload.adapters import table
@@ -29,7 +30,7 @@ def _events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 def _ingested(spark: SparkSession, sf_dir: str) -> ingest.Ingested:
     events, as_of = _events(spark, sf_dir)
-    return ingest.ingest(adapters.envelopes(events), as_of, TOPIC)
+    return ingest.ingest(adapters.envelopes(spread(events)), as_of, TOPIC)
 
 
 def decode_envelope(spark, sf_dir):
