@@ -1,15 +1,17 @@
 """Streams against batch, restarts, and repeated batches."""
 
 from datetime import datetime, timedelta
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.gold import hourly_sentiment
+from tidemark.plans.skew import spread
 from tidemark.sources.schemas import PUSH_ENVELOPE
 from tidemark.streaming import rollups, sinks
 from tidemark.streaming.ingest import run_ingest
-from workload import adapters, streams
+from workload import adapters, messages, streams
 from workload.adapters import table
 
 COMPARED = [
@@ -125,3 +127,22 @@ def test_replays_within_the_delay_are_dropped(frame, spark, tmp_path):
     )
     query.awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_costly_rows_are_dealt_to_many_tasks(spark, small, tmp_path, monkeypatch):
+    """A table in one small file must not be scored and embedded by one task."""
+    few = partial(spread, piece_rows=100)
+    seen, ingest = [], messages.ingest.ingest
+    for module in (messages, streams):
+        monkeypatch.setattr(module, "spread", few, raising=False)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(
+        messages.ingest, "ingest", lambda pushed, *rest: seen.append(pushed) or ingest(pushed, *rest)
+    )
+    batch = messages.ingest_bronze(spark, small)
+    pieces = -(-table(spark, small, "events").count() // 100)
+    assert pieces > 1 and seen[0].rdd.getNumPartitions() == pieces
+    stream = streams.ingest_stream(spark, small)
+    for step in range(streams.STEPS):
+        assert len(list(tmp_path.glob(f"replay/step={step}/*.parquet"))) > 1
+    assert rows_of(stream, batch.columns) == rows_of(batch, batch.columns)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import sentiment
 from tidemark.functions.times import iso_text
 from tidemark.operators import gold, routing, staging
+from tidemark.plans.skew import spread
 from tidemark.plans.storage import scratch_path
 from tidemark.streaming import redelivery, rollups, sinks, trends
 from tidemark.streaming.ingest import run_ingest
@@ -31,9 +32,11 @@ def replay(
     run: Callable[[DataFrame], StreamingQuery],
     time_col: str = "ts",
     steps: int = STEPS,
+    costly: bool = False,
 ) -> None:
     """Feed all events to a stream in steps of time; each step is taken up by a
-    restarted query, which must go on from its checkpoint."""
+    restarted query, which must go on from its checkpoint. For work that is
+    ``costly`` row by row, rows are dealt to as many files as tasks should share it."""
     spark = events.sparkSession
     path = scratch_path(spark, "replay")
     timed = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
@@ -43,6 +46,7 @@ def replay(
         part = timed.filter(F.col(time_col) >= F.lit(first + step * width))
         if step < steps - 1:
             part = part.filter(F.col(time_col) < F.lit(first + (step + 1) * width))
+        part = spread(part) if costly else part
         part.write.parquet(f"{path}/step={step}")
         stream = spark.readStream.schema(timed.schema).parquet(f"{path}/step=*")
         run(stream).awaitTermination()
@@ -257,7 +261,7 @@ def ingest_stream(spark, sf_dir):
         pushed = adapters.envelopes(stream)
         return run_ingest(pushed, out, state, messages.TOPIC, as_of, available_now=True)
 
-    replay(events, run)
+    replay(events, run, costly=True)
     return messages.bronze_view(spark.read.parquet(f"{out}/bronze"))
 
 
