@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -21,6 +22,7 @@ from tidemark.llm import (
     packing,
     quality,
     tokencount,
+    tokens,
     toxicity,
     warc,
 )
@@ -220,6 +222,31 @@ def test_other_benchmark_of_the_same_shape(spark):
         assert [r.doc_id for r in found.collect()] == [doc]
 
 
+def test_words_encoded_together_are_those_encoded_alone(monkeypatch):
+    """Many words are one text to the tokenizer, with the ids each has by itself."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    some = "abXY09'’_<|>#\xe9\xc5\u0301\u0345\xa0\u2003\x85\u200d\u0130\u03a3\u03c2\ufb01\u65e5\u1100\u1161\u11a8\U0001f642\x00\x1c"
+    pick = random.Random(5)
+    words = {"".join(pick.choices(some, k=pick.randint(1, 9))).encode() for _ in range(3500)}
+    words |= {w.encode() for w in ("<|endoftext|>", "a<|startoftext|>b", "\u0301", "\xa0", "it's")}
+    calls, loaded = [], tokens.tokenizer(path)
+
+    class Counted:
+        def __getattr__(self, name):
+            def call(texts, **named):
+                calls.append(len(texts))
+                return getattr(loaded, name)(texts, **named)
+
+            return call
+
+    cache = tokens.WordCache(path, list)
+    monkeypatch.setattr(tokens, "tokenizer", lambda path: Counted())
+    cache.learn(words)
+    assert sum(calls) == -(-len(words) // tokens.JOINED_WORDS) < len(words)
+    alone = {w: loaded.encode(w.decode(), add_special_tokens=False).ids for w in words}
+    assert cache.held == alone and [] in alone.values()
+
+
 def test_similar_lines(documents, nothing):
     lines = {}
     for doc, text in texts_of(documents.where("doc_id IS NOT NULL")):

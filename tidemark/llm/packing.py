@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tokens import Cache, grouped
+from tidemark.llm.tokens import WordCache, grouped
 from tidemark.plans.storage import settle
 
 CAPACITY = 4096
@@ -25,7 +25,7 @@ def _packed_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_CACHES: dict[str, Cache] = {}
+_CACHES: dict[str, WordCache] = {}
 
 
 def token_pieces(
@@ -55,7 +55,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        cache = _CACHES.setdefault(tokenizer_path, Cache(tokenizer_path, _packed_ids))
+        cache = _CACHES.setdefault(tokenizer_path, WordCache(tokenizer_path, _packed_ids))
         for batch in batches:
             ids = iter(batch.column(0).to_pylist())
             for texts in grouped(value.as_py() for value in batch.column(1)):

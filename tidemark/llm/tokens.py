@@ -39,10 +39,14 @@ class Cache:
             missing = [p for p in set(pieces).difference(self.held) if len(p) <= CACHED_BYTES]
         for start in range(0, len(missing), 10_000):
             part = missing[start : start + 10_000]
-            encoded = tokenizer(self.path).encode_batch_fast(
-                [p.decode() for p in part], add_special_tokens=False
-            )
-            self.held.update((p, self.value(e.ids)) for p, e in zip(part, encoded))
+            self.held.update(zip(part, map(self.value, self._encoded(part))))
+
+    def _encoded(self, pieces: list[bytes]) -> Iterable[list[int]]:
+        """Ids of each piece."""
+        encoded = tokenizer(self.path).encode_batch_fast(
+            [p.decode() for p in pieces], add_special_tokens=False
+        )
+        return (e.ids for e in encoded)
 
     def once(self, piece: bytes):
         ids = tokenizer(self.path).encode(piece.decode(), add_special_tokens=False).ids
@@ -57,6 +61,31 @@ class Cache:
             return [held[p] if p in held else self.once(p) for p in pieces]
 
 
+#: Words that are encoded as one text.
+JOINED_WORDS = 1000
+
+
+class WordCache(Cache):
+    """A cache of words without ASCII white space, for tokenizers that treat such words
+    apart: many are encoded as one text and its ids dealt to them by their offsets."""
+
+    def _encoded(self, pieces: list[bytes]) -> Iterable[list[int]]:
+        import numpy as np
+
+        texts = [
+            b" ".join(pieces[at : at + JOINED_WORDS]).decode()
+            for at in range(0, len(pieces), JOINED_WORDS)
+        ]
+        encoded = tokenizer(self.path).encode_batch(texts, add_special_tokens=False)
+        for text, one in zip(texts, encoded):
+            ids = one.ids
+            starts = np.fromiter((at for at, _ in one.offsets), "int64", len(ids))
+            # Ids that start before the blank behind a word are of it or of one before.
+            ends = np.cumsum([len(word) + 1 for word in text.split(" ")])
+            cuts = np.searchsorted(starts, ends).tolist()
+            yield from (ids[a:b] for a, b in zip([0, *cuts], cuts))
+
+
 def grouped(texts: Iterable[str | None], size: int = 4_000_000) -> Iterable[list[str]]:
     """Texts in lists of about ``size`` characters, so that what is held at a time is bounded."""
     part, chars = [], 0
