@@ -303,6 +303,31 @@ def test_lines_of_repeated_and_missing_ids(spark):
     assert kept == Counter([r for r in rows if r[0] != 5])
 
 
+def test_near_copies_of_a_line_are_removed_without_listing_their_pairs(spark, monkeypatch):
+    words = [f"w{i}" for i in range(30)]
+    near = [" ".join([*words[: i % 30], f"x{i}", *words[i % 30 + 1 :]]) for i in range(60)]
+    # Each further from the copies, but similar to the line before it.
+    last = near[-1].split()
+    steps = [" ".join([*last[: -1 - k], *[f"y{j}" for j in range(k + 1)]]) for k in range(1, 9, 2)]
+    texts = [(i, t) for i, t in enumerate([*near, *steps])]
+    sets = [frozenset(t.split()) for _, t in texts]
+    similar = lambda a, b: 1000 * len(a & b) >= 850 * len(a | b)
+    want = {i for i, one in enumerate(sets) if not any(similar(one, two) for two in sets[:i])}
+    rows = []
+    settle = linededup.settle
+
+    def counted(df, label, keep=False):
+        done = settle(df, label, keep)
+        rows.append(done.count())
+        return done
+
+    monkeypatch.setattr(linededup, "settle", counted)
+    kept = linededup.without_similar_lines(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == want and len(want) < 10
+    # A line of 30 words has five prefix words; pairs of copies would be 1,770.
+    assert max(rows) <= 5 * len(texts)
+
+
 def test_quality_ledger(documents, nothing):
     rows = {r.doc_id: r for r in quality.ledger(documents).collect()}
     for doc, text in texts_of(documents):

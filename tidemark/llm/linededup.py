@@ -114,8 +114,8 @@ def _signed(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
 
 
 
-def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): signatures that share a prefix word and pass all filters, each pair once.
+def _postings(firsts: DataFrame, threshold: float) -> tuple[DataFrame, Column]:
+    """Prefix words with their signatures, and what postings ``a`` and ``b`` of similar lines fulfil.
 
     A posting is three numbers: the word, the line's signature, and its length,
     the word's place and the parity bits in one. Lengths and places beyond their
@@ -150,29 +150,28 @@ def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
     differing = F.bit_count(bits_a.bitwiseXOR(bits_b)) * (whole + top) <= (n_a + n_b) * (
         whole - top
     )
+    return postings, (F.col("a.word") == F.col("b.word")) & (held | (near & overlap & differing))
+
+
+def _candidates(firsts: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): signatures that share a prefix word and pass all filters, each pair once."""
+    postings, alike = _postings(firsts, threshold)
     return (
         postings.alias("a")
-        .join(
-            postings.alias("b"),
-            (F.col("a.word") == F.col("b.word"))
-            & (F.col("a.id") < F.col("b.id"))
-            & (held | (near & overlap & differing)),
-        )
+        .join(postings.alias("b"), (F.col("a.id") < F.col("b.id")) & alike)
         .select(F.col("a.id").alias("a"), F.col("b.id").alias("b"))
         .distinct()
     )
 
 
-def _verified(
-    pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
+def _first_lines(
+    ids: DataFrame, classes: DataFrame, docs: DataFrame, doc: str, text: str
 ) -> DataFrame:
-    """The pairs whose whole sets of words are similar, with both classes' first places.
+    """(id, place, line): the first line of every signature in ``ids``.
 
     Documents are joined with the numbers of their wanted lines, so that only
     these lines leave them; of rows that repeat an id and text one is enough.
     """
-    top, whole = _ratio(threshold)
-    ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct(), "paired")
     wanted = (
         classes.join(ids, "s1")
         .select(
@@ -191,7 +190,52 @@ def _verified(
     lines = split.select(
         F.col("w.s1").alias("id"), F.col("w.first").alias("place"), F.get("all", "w.line_no").alias("line")
     )
-    sets = settle(lines.where(F.col("line").isNotNull()).dropDuplicates(["id"]), "paired-lines")
+    return settle(lines.where(F.col("line").isNotNull()).dropDuplicates(["id"]), "paired-lines")
+
+
+def _after_similar(
+    classes: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
+) -> DataFrame:
+    """(s1, own): the classes that have a similar one before them.
+
+    A class asks for one earlier line only, so no join makes more rows than there
+    are prefix words, however many near copies a line has. Prefix words that no
+    other line can be similar under are left out before whole sets are compared.
+    """
+    top, whole = _ratio(threshold)
+    postings, alike = _postings(classes, threshold)
+    met = postings.alias("a").join(
+        postings.alias("b"), (F.col("a.id") != F.col("b.id")) & alike, "left_semi"
+    )
+    live = settle(met.select("word", "id", "packed"), "live-words")
+    ids = live.select(F.col("id").alias("s1")).distinct()
+    sets = _first_lines(ids, classes, docs, doc, text)
+    words = F.array_distinct(_words("line"))
+    members = live.join(sets.select("id", "place", words.alias("words")), "id").select(
+        "word", "id", "place", "words", F.size("words").alias("n"),
+        F.col("packed").bitwiseAND(F.lit((1 << PARITY_BITS) - 1).cast("long")).alias("parity"),
+    )
+    a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    total = a("n") + b("n")
+    earlier = (b("place") < a("place")) | ((b("place") == a("place")) & (b("id") < a("id")))
+    near = F.least(a("n"), b("n")) * whole >= F.greatest(a("n"), b("n")) * top
+    differing = F.bit_count(a("parity").bitwiseXOR(b("parity"))) * (whole + top) <= total * (whole - top)
+    common = F.size(F.array_intersect(a("words"), b("words")))
+    found = members.alias("a").join(
+        members.alias("b"),
+        (a("word") == b("word")) & near & differing & earlier & (common * (whole + top) >= total * top),
+        "left_semi",
+    )
+    return found.select(F.col("id").alias("s1"), F.col("place").alias("own")).distinct()
+
+
+def _verified(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
+) -> DataFrame:
+    """The pairs whose whole sets of words are similar, with both classes' first places."""
+    top, whole = _ratio(threshold)
+    ids = settle(pairs.select(F.explode(F.array("a", "b")).alias("s1")).distinct(), "paired")
+    sets = _first_lines(ids, classes, docs, doc, text)
 
     pairs = settle(_alike(pairs, sets, threshold), "alike-lines")
 
@@ -308,12 +352,13 @@ def similar_lines(
     return _judged(docs, doc, text, threshold).drop("row_key")
 
 
-def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame:
-    """``similar_lines`` with the key of the row each line stands in."""
+def _classed(
+    docs: DataFrame, doc: str, text: str, threshold: float
+) -> tuple[DataFrame, DataFrame]:
+    """Lines with the signature of their set, and one row per signature with its first place."""
     lines = settle(_signed(docs, doc, text, threshold), "lines")
-    keys = ["s1", "s2"]
     classes = (
-        lines.groupBy(*keys)
+        lines.groupBy("s1", "s2")
         .agg(
             F.min(F.struct(_place("doc_id", "line_no").alias("place"), "row_key")).alias("first"),
             F.count("*").alias("copies"),
@@ -324,7 +369,12 @@ def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
         .select("s1", "s2", "first.place", "first.row_key", "copies", "n", "parity", "prefix")
         .withColumnRenamed("place", "first")
     )
-    classes = settle(classes, "line-classes")
+    return lines, settle(classes, "line-classes")
+
+
+def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame:
+    """``similar_lines`` with the key of the row each line stands in."""
+    lines, classes = _classed(docs, doc, text, threshold)
     with scratch_scope(docs.sparkSession):
         pairs = settle(_candidates(classes, threshold), "line-pairs")
         linked = _verified(pairs, classes, docs, doc, text, threshold)
@@ -355,8 +405,8 @@ def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     place = _place("doc_id", "line_no")
     own = F.coalesce("first", place)
     return (
-        lines.select("doc_id", "row_key", "line_no", "n", *keys)
-        .join(settle(known, "known-lines"), keys, "left")
+        lines.select("doc_id", "row_key", "line_no", "n", "s1", "s2")
+        .join(settle(known, "known-lines"), ["s1", "s2"], "left")
         .select(
             "doc_id",
             "row_key",
@@ -372,6 +422,23 @@ def _judged(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame
     )
 
 
+def _repeating(docs: DataFrame, doc: str, text: str, threshold: float) -> DataFrame:
+    """(doc_id, row_key, line_no): the lines that ``similar_lines`` marks as removed."""
+    lines, classes = _classed(docs, doc, text, threshold)
+    after = settle(_after_similar(classes, docs, doc, text, threshold), "later-lines")
+    known = (
+        classes.join(after, (classes["s1"] == after["s1"]) & (classes["first"] == after["own"]), "left")
+        .where("copies > 1 OR own IS NOT NULL")
+        .select(classes["s1"], "s2", "first", F.col("own").isNotNull().alias("later"))
+    )
+    return (
+        lines.select("doc_id", "row_key", "line_no", "s1", "s2")
+        .join(settle(known, "known-lines"), ["s1", "s2"])
+        .where(F.col("later") | (_place("doc_id", "line_no") != F.col("first")))
+        .select("doc_id", "row_key", "line_no")
+    )
+
+
 def without_similar_lines(docs: DataFrame) -> DataFrame:
     """Documents without the lines that ``similar_lines`` removes, with their columns.
 
@@ -381,8 +448,8 @@ def without_similar_lines(docs: DataFrame) -> DataFrame:
     """
     with scratch_scope(docs.sparkSession):
         gone = (
-            _judged(docs, "doc_id", "text", THRESHOLD)
-            .where("removed AND doc_id IS NOT NULL")
+            _repeating(docs, "doc_id", "text", THRESHOLD)
+            .where("doc_id IS NOT NULL")
             .groupBy(F.col("doc_id").alias("_doc"), F.col("row_key").alias("_key"))
             .agg(F.collect_set("line_no").alias("_gone"))
         )
