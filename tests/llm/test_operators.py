@@ -328,6 +328,25 @@ def test_near_copies_of_a_line_are_removed_without_listing_their_pairs(spark, mo
     assert max(rows) <= 5 * len(texts)
 
 
+def test_sets_of_lines_go_with_a_share_of_prefix_words_at_a_time(spark, monkeypatch):
+    words = [f"w{i}" for i in range(30)]
+    near = [" ".join([*words[:i], f"x{i}", *words[i + 1 :]]) for i in range(30)]
+    sent = []
+    members = linededup._members
+
+    def counted(close, sets, share):
+        assert sets.schema["words"].dataType.simpleString() == "array<bigint>"
+        done = members(close, sets, share)
+        sent.append((done.count(), close.count()))
+        return done
+
+    monkeypatch.setattr(linededup, "_members", counted)
+    docs = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string")
+    assert [r.doc_id for r in linededup.without_similar_lines(docs).collect()] == [0]
+    # Every prefix word once, and never all of them in one join.
+    assert sum(n for n, _ in sent) == sent[0][1] > max(n for n, _ in sent)
+
+
 def test_quality_ledger(documents, nothing):
     rows = {r.doc_id: r for r in quality.ledger(documents).collect()}
     for doc, text in texts_of(documents):

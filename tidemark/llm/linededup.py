@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,11 @@ def _words(line: Column | str) -> Column:
     return F.array_remove(F.split(F.lower(line), SPACE), "")
 
 
+def _hashes(line: Column | str) -> Column:
+    """The distinct words as 64-bit hashes, a third of the bytes of the words themselves."""
+    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
+
+
 def rarity_classes(docs: DataFrame, doc: str, text: str) -> bytearray:
     """A class per slot, ascending with the number of words in it over all documents.
 
@@ -193,6 +199,45 @@ def _first_lines(
     return settle(lines.where(F.col("line").isNotNull()).dropDuplicates(["id"]), "paired-lines")
 
 
+#: Parity bits that a pair is filtered by before its lines are brought together.
+WIDE_BITS, WIDE = 64, 3
+
+
+def _wide_bits(sets: DataFrame) -> DataFrame:
+    """(id, n, p0, p1, p2): number of words and wider parity bits of each line in ``sets``."""
+    narrow = compute_once(sets, {"codes": _hashes("line")})
+
+    def parity(k: int) -> Column:
+        return F.aggregate(
+            "codes",
+            F.lit(0).cast("long"),
+            lambda bits, x: bits.bitwiseXOR(
+                F.call_function(
+                    "shiftleft",
+                    F.lit(1).cast("long"),
+                    F.shiftright(x, 16 * k).bitwiseAND(F.lit(WIDE_BITS - 1)).cast("int"),
+                )
+            ),
+        )
+
+    return settle(
+        narrow.select(
+            "id", F.size("codes").alias("n"), *[parity(k).alias(f"p{k}") for k in range(WIDE)]
+        ).distinct(),
+        "line-bits",
+    )
+
+
+#: Shares of the prefix words whose sets are compared one after the other.
+PASSES = 4
+
+
+def _members(close: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """A share of the prefix words, each with the whole set of its line: the widest rows here."""
+    own = F.pmod(F.xxhash64("word"), F.lit(PASSES)) == share
+    return close.where(own).join(sets, "id")
+
+
 def _after_similar(
     classes: DataFrame, docs: DataFrame, doc: str, text: str, threshold: float
 ) -> DataFrame:
@@ -200,33 +245,51 @@ def _after_similar(
 
     A class asks for one earlier line only, so no join makes more rows than there
     are prefix words, however many near copies a line has. Prefix words that no
-    other line can be similar under are left out before whole sets are compared.
+    other line can be similar under are left out, first by the parity bits of the
+    posting, then by wider ones. Whole sets, as hashes of their words, go with
+    every prefix word that is left, a share of the words at a time.
     """
     top, whole = _ratio(threshold)
     postings, alike = _postings(classes, threshold)
     met = postings.alias("a").join(
         postings.alias("b"), (F.col("a.id") != F.col("b.id")) & alike, "left_semi"
     )
-    live = settle(met.select("word", "id", "packed"), "live-words")
+    live = settle(met.select("word", "id"), "live-words")
     ids = live.select(F.col("id").alias("s1")).distinct()
-    sets = _first_lines(ids, classes, docs, doc, text)
-    words = F.array_distinct(_words("line"))
-    members = live.join(sets.select("id", "place", words.alias("words")), "id").select(
-        "word", "id", "place", "words", F.size("words").alias("n"),
-        F.col("packed").bitwiseAND(F.lit((1 << PARITY_BITS) - 1).cast("long")).alias("parity"),
-    )
+    lines = _first_lines(ids, classes, docs, doc, text)
+    bits = _wide_bits(lines)
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     total = a("n") + b("n")
-    earlier = (b("place") < a("place")) | ((b("place") == a("place")) & (b("id") < a("id")))
     near = F.least(a("n"), b("n")) * whole >= F.greatest(a("n"), b("n")) * top
-    differing = F.bit_count(a("parity").bitwiseXOR(b("parity"))) * (whole + top) <= total * (whole - top)
-    common = F.size(F.array_intersect(a("words"), b("words")))
-    found = members.alias("a").join(
-        members.alias("b"),
-        (a("word") == b("word")) & near & differing & earlier & (common * (whole + top) >= total * top),
-        "left_semi",
+    differing = sum(
+        (F.bit_count(a(f"p{k}").bitwiseXOR(b(f"p{k}"))) for k in range(1, WIDE)),
+        F.bit_count(a("p0").bitwiseXOR(b("p0"))),
     )
-    return found.select(F.col("id").alias("s1"), F.col("place").alias("own")).distinct()
+    met = (a("word") == b("word")) & near & (
+        differing * (whole + top) <= F.lit(WIDE) * total * (whole - top)
+    )
+    wide = live.join(bits, "id")
+    close = wide.alias("a").join(wide.alias("b"), met & (a("id") != b("id")), "left_semi")
+    close = settle(close.select("word", "id"), "close-words")
+    sets = settle(
+        lines.join(close.select("id").distinct(), "id", "left_semi")
+        .join(bits, "id")
+        .select(*bits.columns, "place", _hashes("line").alias("words")),
+        "close-sets",
+    )
+    earlier = (b("place") < a("place")) | ((b("place") == a("place")) & (b("id") < a("id")))
+    common = F.size(F.array_intersect(a("words"), b("words")))
+    found = []
+    for share in range(PASSES):
+        members = _members(close, sets, share)
+        after = members.alias("a").join(
+            members.alias("b"),
+            met & earlier & (common * (whole + top) >= total * top),
+            "left_semi",
+        )
+        after = after.select(F.col("id").alias("s1"), F.col("place").alias("own")).distinct()
+        found.append(settle(after, "later-lines"))
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def _verified(
@@ -264,10 +327,6 @@ def _verified(
     return similar.where("enough").select("a", "b", "place_a", "place_b").distinct()
 
 
-#: Parity bits that a pair is filtered by before its lines are brought together.
-WIDE_BITS, WIDE = 64, 3
-
-
 def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose wider parity bits allow them to be similar.
 
@@ -275,28 +334,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     lost, and few others are left for the comparison of whole sets.
     """
     top, whole = _ratio(threshold)
-    codes = F.transform(F.array_distinct(_words("line")), lambda w: F.xxhash64(w))
-    narrow = compute_once(sets, {"codes": codes})
-
-    def parity(k: int) -> Column:
-        return F.aggregate(
-            "codes",
-            F.lit(0).cast("long"),
-            lambda bits, x: bits.bitwiseXOR(
-                F.call_function(
-                    "shiftleft",
-                    F.lit(1).cast("long"),
-                    F.shiftright(x, 16 * k).bitwiseAND(F.lit(WIDE_BITS - 1)).cast("int"),
-                )
-            ),
-        )
-
-    bits = settle(
-        narrow.select(
-            "id", F.size("codes").alias("n"), *[parity(k).alias(f"p{k}") for k in range(WIDE)]
-        ).distinct(),
-        "line-bits",
-    )
+    bits = _wide_bits(sets)
 
     def side(name: str) -> DataFrame:
         return bits.select(*[F.col(c).alias(name if c == "id" else f"{c}_{name}") for c in bits.columns])
